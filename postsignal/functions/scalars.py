@@ -27,50 +27,68 @@ _ISO = (
 _PLAIN_ISO = (
     r"^(?!0000)\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?(?:Z|[+-](?:0\d|1[0-7]):[0-5]\d)?\z"
 )
-_DAY_SECONDS = 86_400
+_DAY_MICROS = 86_400_000_000
 
 
-def _digits(clock: Column, start: int, length: int = 2) -> Column:
-    """Digits of a clock text with its separators gone; absent ones read as zero."""
-    padded = F.rpad(F.regexp_replace(clock, "[:.,]", ""), 12, "0")
-    return F.substring(padded, start, length).cast("bigint")
+def _clock_digits(clock: Column) -> Column:
+    """HHMMSS and six digits of fraction; absent ones read as zero."""
+    return F.rpad(F.regexp_replace(clock, "[:.,]", ""), 12, "0")
 
 
-def _clock_micros(clock: Column) -> Column:
-    seconds = _digits(clock, 1) * 3600 + _digits(clock, 3) * 60 + _digits(clock, 5)
-    return seconds * 1_000_000 + _digits(clock, 7, 6)
+def _part(digits: Column, start: int, length: int = 2) -> Column:
+    return F.substring(digits, start, length).cast("bigint")
+
+
+def _micros(digits: Column) -> Column:
+    seconds = _part(digits, 1) * 3600 + _part(digits, 3) * 60 + _part(digits, 5)
+    return seconds * 1_000_000 + _part(digits, 7, 6)
+
+
+def _calendar_date(text: Column) -> Column:
+    digits = F.replace(text, F.lit("-"), F.lit(""))
+    parts = (F.substring(digits, start, length) for start, length in ((1, 4), (5, 2), (7, 2)))
+    return F.concat_ws("-", *parts).try_cast("date")
 
 
 def _week_date(text: Column) -> Column:
     year = F.substring(text, 1, 4).cast("int")
     week = F.regexp_extract(text, r"W(\d{2})", 1).cast("int")
-    day = F.coalesce(F.nullif(F.regexp_extract(text, r"W\d{2}-?(\d)$", 1), F.lit("")).cast("int"), F.lit(1))
+    day_text = F.nullif(F.regexp_extract(text, r"W\d{2}-?(\d)$", 1), F.lit(""))
+    day = F.coalesce(day_text.cast("int"), F.lit(1))
     fourth = F.make_date(year, F.lit(1), F.lit(4))
     monday = F.date_add(fourth, (week - 1) * 7 - F.weekday(fourth))
     valid = day.between(1, 7) & (F.year(F.date_add(monday, 3)) == year)
     return F.when(valid, F.date_add(monday, day - 1))
 
 
+def _from_parts(parts: Column) -> Column:
+    """Local time minus its offset, from the pieces of an ISO-8601 text."""
+    calendar, week, clock = parts["calendar"], parts["week"], parts["clock"]
+    day = F.when(calendar != "", _calendar_date(calendar)).otherwise(_week_date(week))
+    size = _micros(parts["offset"])
+    offset = F.when(parts["sign"] == "-", -size).otherwise(size)
+    valid = (
+        (F.year(day) > 0)
+        & (_part(clock, 1) < 24)
+        & (_part(clock, 3) < 60)
+        & (_part(clock, 5) < 60)
+        & (size < _DAY_MICROS)
+    )
+    local = F.unix_date(day).cast("bigint") * _DAY_MICROS + _micros(clock)
+    return F.when(valid, F.timestamp_micros(local - offset))
+
+
 def _general_iso(text: Column) -> Column:
-    """Any accepted ISO-8601 text, as local time minus its offset."""
+    """Any accepted ISO-8601 text; the lambda binds its pieces, so each is cut out once."""
     calendar, week, clock, sign, offset = (F.regexp_extract(text, _ISO, i) for i in range(1, 6))
-    digits = F.replace(calendar, F.lit("-"), F.lit(""))
-    calendar_date = F.concat_ws(
-        "-", F.substring(digits, 1, 4), F.substring(digits, 5, 2), F.substring(digits, 7, 2)
-    ).try_cast("date")
-    day = F.when(calendar != "", calendar_date).otherwise(_week_date(week))
-    offset_micros = F.when(sign == "", F.lit(0)).otherwise(
-        F.when(sign == "-", -_clock_micros(offset)).otherwise(_clock_micros(offset))
-    )
-    valid = (
-        (text >= "0001")
-        & (_digits(clock, 1) < 24)
-        & (_digits(clock, 3) < 60)
-        & (_digits(clock, 5) < 60)
-        & (F.abs(offset_micros) < _DAY_SECONDS * 1_000_000)
+    parts = F.struct(
+        calendar.alias("calendar"),
+        week.alias("week"),
+        _clock_digits(clock).alias("clock"),
+        sign.alias("sign"),
+        _clock_digits(offset).alias("offset"),
     )
-    micros = F.unix_date(day).cast("bigint") * _DAY_SECONDS * 1_000_000 + _clock_micros(clock)
-    return F.when(valid, F.timestamp_micros(micros - offset_micros))
+    return F.get(F.transform(F.array(parts), _from_parts), 0)
 
 
 def parse_timestamp(text: Column) -> Column:

@@ -17,8 +17,9 @@ KEPT_SYMBOLS = "#@%$₹.,:+-"
 TAG_EDGE_PUNCTUATION = ".,:;!?)]}'\""
 
 URL_PATTERN = rf"https?://[^{WHITESPACE}]+"
-HASHTAG_PATTERN = rf"(?<![^{WHITESPACE}])#([^{WHITESPACE}#@]+)"
-MENTION_PATTERN = rf"(?<![{WORD}])@([A-Za-z0-9_]+)"
+# The sign comes first and the look behind spans it: most positions then fail on one comparison.
+HASHTAG_PATTERN = rf"#(?<![^{WHITESPACE}]#)([^{WHITESPACE}#@]+)"
+MENTION_PATTERN = rf"@(?<![{WORD}]@)([A-Za-z0-9_]+)"
 TOKEN_PATTERN = r"[a-zA-Z][a-zA-Z0-9_]{1,}"
 
 _EDGE_WHITESPACE = rf"^[{WHITESPACE}]+|[{WHITESPACE}]+$"

@@ -16,6 +16,17 @@ def with_required_values(posts: DataFrame, columns: tuple[str, ...] = ("tweet_id
     return posts
 
 
+def spread(frame: DataFrame, key: str, tasks_per_core: int = 2) -> DataFrame:
+    """Hash a scan over all cores when its files make fewer splits than there are cores.
+
+    Large inputs have more splits than that and come back as they are, without a shuffle.
+    """
+    tasks = frame.sparkSession.sparkContext.defaultParallelism * tasks_per_core
+    if frame.rdd.getNumPartitions() >= tasks:
+        return frame
+    return frame.repartition(tasks, key)
+
+
 def first_posts(
     posts: DataFrame, limit: int, order: str = "ingest_seq", take_limit: int = 100_000
 ) -> DataFrame:

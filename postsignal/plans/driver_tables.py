@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postsignal.functions.text import extract_hashtags, extract_mentions
+from postsignal.operators.rows import spread
 
 # Inside the time range of the events table, so that some posts lie in the future.
 AS_OF = datetime(2024, 1, 15, 12, 0, 0, tzinfo=timezone.utc)
@@ -125,8 +126,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The tables with long texts, and their key.
+_TEXT_TABLES = {"documents": "doc_id", "pages": "page_id"}
+
+
 def _query(spark: SparkSession, sf_dir: str, statement: str, *names: str) -> DataFrame:
-    return spark.sql(statement, **{name: table(spark, sf_dir, name) for name in names})
+    frames = {name: table(spark, sf_dir, name) for name in names}
+    for name in names:
+        if name in _TEXT_TABLES:
+            frames[name] = spread(frames[name], _TEXT_TABLES[name])
+    return spark.sql(statement, **frames)
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,27 +59,26 @@ def _text_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.where(F.col("line").rlike(f"[^{WHITESPACE}]"))
 
 
-def _field(name: str) -> Column:
+def _field(document: Column, name: str) -> Column:
     kind = POST_SCHEMA[name].dataType.simpleString()
-    return F.try_variant_get("_doc", f"$[0].{name}", kind).alias(name)
+    return F.try_variant_get(document, f"$[0].{name}", kind)
 
 
-def _reject_reason(line: Column, check_counts: bool) -> Column:
+def _reject_reason(line: Column, document: Column, check_counts: bool) -> Column:
     starts_object = line.rlike(r"^[ \t\r\n]*\{")
-    is_single = F.col("_doc").isNotNull() & F.variant_get("_doc", "$[1]", "variant").isNull()
-    is_object = starts_object & is_single
+    is_single = document.isNotNull() & F.variant_get(document, "$[1]", "variant").isNull()
     # An absent key reads as NULL, a null value as the variant null.
     absent = [
-        F.when(F.variant_get("_doc", f"$[0].{name}", "variant").isNull(), F.lit(name))
+        F.when(F.variant_get(document, f"$[0].{name}", "variant").isNull(), F.lit(name))
         for name in REQUIRED_FIELDS
     ]
     missing = F.concat_ws(", ", *absent)
-    reason = F.when(~is_object, NOT_AN_OBJECT).when(
+    reason = F.when(~(starts_object & is_single), NOT_AN_OBJECT).when(
         missing != "", F.concat(F.lit(MISSING_KEY + ": "), missing)
     )
     if check_counts:
         for name in COUNT_FIELDS:
-            value = _field(name)
+            value = _field(document, name)
             bad = value.isNotNull() & ~F.coalesce(value.try_cast("bigint") >= 0, F.lit(False))
             reason = reason.when(bad, f"{BAD_COUNT}: {name}")
     return reason
@@ -88,18 +87,20 @@ def _reject_reason(line: Column, check_counts: bool) -> Column:
 def parse_lines(lines: DataFrame, check_counts: bool = False, column: str = "line") -> DataFrame:
     """Add ``post`` (closed schema, other keys dropped) and ``reason`` (null for a good line).
 
-    Each line is parsed once; all fields and checks read the parsed value. It is parsed inside an
-    array, because the parser stops at the end of a value: anything after the object then shows as
-    an error or as a second element. A repeated key makes a line unreadable.
+    A line is parsed inside an array, because the parser stops at the end of a value: anything after
+    the object then shows as an error or as a second element. A repeated key makes a line unreadable.
+    The lambda binds the parsed value, and ``inline`` keeps filters on ``reason`` above it, so that
+    each line is parsed exactly once.
     """
-    wrapped = F.concat(F.lit("["), F.col(column), F.lit("]"))
-    parsed = lines.withColumn("_doc", F.try_parse_json(wrapped))
-    return parsed.withColumns(
-        {
-            "post": F.struct(*map(_field, POST_FIELDS)),
-            "reason": _reject_reason(F.col(column), check_counts),
-        }
-    ).drop("_doc")
+    line = F.col(column)
+
+    def read(document: Column) -> Column:
+        fields = (_field(document, name).alias(name) for name in POST_FIELDS)
+        reason = _reject_reason(line, document, check_counts)
+        return F.struct(F.struct(*fields).alias("post"), reason.alias("reason"))
+
+    wrapped = F.concat(F.lit("["), line, F.lit("]"))
+    return lines.select("*", F.inline(F.transform(F.array(F.try_parse_json(wrapped)), read)))
 
 
 def post_columns(parsed: DataFrame, *carry: str) -> DataFrame:
