@@ -90,7 +90,8 @@ def count_new_per_batch(
     ``limit``-th new id and later rows do not count. Only counts and first places leave the map
     side: no window gathers all rows of an often repeated id.
     """
-    place = F.struct(batch, position)
+    # Without a limit the batch alone decides, and a plain column keeps the aggregation hash-based.
+    place = F.col(batch) if limit is None else F.struct(batch, position)
     rows = with_required_values(posts)
     firsts = rows.groupBy(*run, "tweet_id").agg(F.min(place).alias("_first"))
     if limit is not None:
@@ -103,8 +104,9 @@ def count_new_per_batch(
             rows = rows.withColumn("_end", ends.select("_end").scalar())
         rows = rows.where(F.col("_end").isNull() | (place <= F.col("_end")))
     seen = rows.groupBy(*run, batch).agg(F.count(F.lit(1)).alias("_seen"))
+    first_batch = F.col("_first") if limit is None else F.col("_first").getField(batch)
     new = (
-        firsts.select(*run, F.col("_first").getField(batch).alias(batch))
+        firsts.select(*run, first_batch.alias(batch))
         .groupBy(*run, batch)
         .agg(F.count(F.lit(1)).alias("_new"))
     )
