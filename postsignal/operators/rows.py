@@ -38,7 +38,7 @@ def first_posts(
     """
     if limit < 0:
         raise ValueError("limit must not be negative")
-    if limit <= take_limit:
+    if limit == 0 or limit <= take_limit:
         return posts.orderBy(order).limit(limit)
     return posts.where(F.col(order) <= _cutoff(posts.select(order), limit, order))
 

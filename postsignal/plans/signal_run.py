@@ -15,7 +15,13 @@ from postsignal.operators.dedupe import dedupe_posts
 from postsignal.operators.features import add_features, add_signals
 from postsignal.operators.tfidf import DEFAULT_TERMS, Term, fit_terms
 from postsignal.schema import FALLBACK_STATUSES
-from postsignal.sinks.tables import observed, shared_folder, with_event_date, write_table
+from postsignal.sinks.tables import (
+    observed,
+    observed_count,
+    shared_folder,
+    with_event_date,
+    write_table,
+)
 from postsignal.sources.jsonl import SourceRead, choose_source, read_posts
 
 
@@ -100,11 +106,11 @@ def run_signals(
     paths["series"] = write_table(series, f"{output_dir}/composite_signal")
 
     counts = {
-        "cleaned": cleaned_rows.get["rows"],
-        "deduped": deduped_rows.get["rows"],
-        "features": feature_rows.get["rows"],
-        "undated": feature_rows.get["undated"],
-        "buckets": bucket_rows.get["rows"],
+        "cleaned": observed_count(cleaned_rows),
+        "deduped": observed_count(deduped_rows),
+        "features": observed_count(feature_rows),
+        "undated": observed_count(feature_rows, "undated"),
+        "buckets": observed_count(bucket_rows),
     }
     elapsed = (datetime.now(timezone.utc) - started).total_seconds()
     return RunResult(

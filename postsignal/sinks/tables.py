@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +25,14 @@ def observed(frame: DataFrame, name: str, *extra: Column) -> tuple[DataFrame, Ob
     return frame.observe(observation, F.count(F.lit(1)).alias("rows"), *extra), observation
 
 
+def observed_count(observation: Observation, name: str = "rows") -> int:
+    """A count taken by ``observed``; 0 when Spark saw that the plan is empty and counted nothing."""
+    try:
+        return observation.get.get(name, 0)
+    except Py4JJavaError:
+        return 0
+
+
 def write_table(frame: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> str:
     """Write a Parquet folder, replacing an earlier one, and return its path."""
     frame.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
@@ -69,7 +78,7 @@ def write_snapshot(posts: DataFrame, metrics: DataFrame, path: str, run_label: s
     post_documents(counted).select("document").write.mode("overwrite").text(f"{path}/posts")
     summary = metrics.select(
         F.lit(datetime.now(timezone.utc).isoformat()).alias("written_at"),
-        F.lit(observation.get["rows"]).alias("tweet_count"),
+        F.lit(observed_count(observation)).alias("tweet_count"),
         F.struct(*metrics.columns).alias("metrics"),
     )
     summary.write.mode("overwrite").json(f"{path}/summary")
