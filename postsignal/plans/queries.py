@@ -6,8 +6,6 @@ engines give equal values.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,11 +18,11 @@ from postsignal.operators import health as H
 from postsignal.operators import tfidf as T
 from postsignal.operators.clean import clean_posts
 from postsignal.operators.features import add_features, add_signals
-from postsignal.operators.rows import first_posts, with_required_values
+from postsignal.operators.rows import first_posts, spread, with_required_values
 from postsignal.plans import driver_tables as tables
 from postsignal.plans.signal_run import post_signals
 from postsignal.schema import COUNT_FIELDS, POST_FIELDS, SUCCESS
-from postsignal.sinks.tables import post_documents, run_documents, shared_folder
+from postsignal.sinks.tables import new_folder, post_documents, run_documents, stage
 from postsignal.sources import articles, jsonl, runs
 from postsignal.streaming import feed
 
@@ -74,6 +72,11 @@ def _deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.dedupe_posts(_clean(spark, sf_dir))
 
 
+def _staged_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deduplicated texts, written once for the vocabulary fit and the scoring."""
+    return stage(_deduped(spark, sf_dir).select("ingest_seq", "content_clean"), "texts")
+
+
 # Scalar functions
 
 
@@ -384,7 +387,7 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def tfidf_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    deduped = _deduped(spark, sf_dir)
+    deduped = _staged_texts(spark, sf_dir)
     scores = T.tfidf_long(deduped, T.fit_terms(deduped))
     return scores.select("ingest_seq", "term", _round("tf"), _round("idf"), _round("tfidf"))
 
@@ -392,9 +395,9 @@ def tfidf_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def tfidf_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The term columns by their rank in the vocabulary, since the terms depend on the data."""
-    deduped = _deduped(spark, sf_dir)
+    deduped = _staged_texts(spark, sf_dir)
     terms = T.fit_terms(deduped)
-    wide = T.tfidf_wide(deduped.select("ingest_seq", "content_clean"), terms)
+    wide = T.tfidf_wide(deduped, terms)
     ranked = [_round(f"tfidf_{t.term}", f"tfidf_rank_{t.rank}") for t in terms]
     return wide.select("ingest_seq", *ranked)
 
@@ -402,7 +405,7 @@ def tfidf_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def post_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned, deduplicated posts with every feature; the term columns are summed up."""
-    deduped = _deduped(spark, sf_dir)
+    deduped = stage(_deduped(spark, sf_dir), "posts_clean")
     terms = T.fit_terms(deduped)
     features = add_features(deduped, terms, tables.AS_OF)
     total = sum((F.col(f"tfidf_{t.term}") for t in terms), F.lit(0.0))
@@ -464,11 +467,10 @@ def signal_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def stream_signal_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly buckets of the posts as a stream: those the watermark has closed."""
-    folder = shared_folder(spark, default="")
-    root = f"{folder}/stream_{uuid.uuid4().hex}" if folder else tempfile.mkdtemp(prefix="stream-")
-    schema = tables.table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    documents = tables.table(spark, sf_dir, "documents")
+    root = new_folder(spark, "stream")
+    reader = spark.readStream.schema(tables.SCHEMAS["events"])
+    events = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    documents = spread(tables.table(spark, sf_dir, "documents"), "doc_id")
     cleaned = clean_posts(tables.with_entities(spark.sql(tables.POSTS, documents=documents, events=events)))
     scored = add_signals(cleaned, tables.AS_OF).withWatermark("timestamp", STREAM_DELAY)
     stream = feed.write_stream(feed.bucket_stream(scored), f"{root}/buckets", f"{root}/checkpoint")

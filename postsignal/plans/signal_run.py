@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -18,7 +17,7 @@ from postsignal.schema import FALLBACK_STATUSES
 from postsignal.sinks.tables import (
     observed,
     observed_count,
-    shared_folder,
+    stage,
     with_event_date,
     write_table,
 )
@@ -77,12 +76,9 @@ def run_signals(
     as_of = options.as_of or started
     source = primary if fallback is None else choose_source(primary, fallback)
 
-    staging = f"{shared_folder(spark, output_dir)}/posts_clean_{uuid.uuid4().hex}"
     cleaned, cleaned_rows = observed(clean_posts(source.posts, carry=("ingest_seq",)), "cleaned")
     deduped, deduped_rows = observed(dedupe_posts(cleaned), "deduped")
-    write_table(deduped, staging)
-
-    posts = spark.read.parquet(staging)
+    posts = stage(deduped, "posts_clean", output_dir)
     terms = fit_terms(posts, options.top_k_terms)
     undated = F.count_if(F.col("timestamp").isNull()).alias("undated")
     features, feature_rows = observed(
@@ -91,7 +87,6 @@ def run_signals(
     if options.by_date:
         features = with_event_date(features)
     paths = {
-        "staging": staging,
         "tweets": write_table(
             features,
             f"{output_dir}/tweets_features",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from datetime import datetime, timezone
 
 from py4j.protocol import Py4JJavaError
@@ -19,6 +21,27 @@ def shared_folder(spark: SparkSession, default: str) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or default
 
 
+def new_folder(spark: SparkSession, name: str, default: str | None = None) -> str:
+    """A fresh folder for intermediate data that every executor reaches.
+
+    ``default`` is used when the session names no checkpoint folder; a local run without either gets
+    a temporary one.
+    """
+    root = shared_folder(spark, default or "") or tempfile.mkdtemp(prefix="postsignal-")
+    return f"{root}/{name}_{uuid.uuid4().hex}"
+
+
+def stage(frame: DataFrame, name: str, default: str | None = None) -> DataFrame:
+    """Write a frame to a fresh folder and read it back.
+
+    For frames with several readers: the work before is done once, each reader scans the columns it
+    needs, and a lost executor costs a re-read.
+    """
+    spark = frame.sparkSession
+    path = write_table(frame, new_folder(spark, name, default))
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 def observed(frame: DataFrame, name: str, *extra: Column) -> tuple[DataFrame, Observation]:
     """Count the rows of a frame during whatever job reads it; no job of its own."""
     observation = Observation(name)
