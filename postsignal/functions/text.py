@@ -22,7 +22,7 @@ HASHTAG_PATTERN = rf"#(?<![^{WHITESPACE}]#)([^{WHITESPACE}#@]+)"
 MENTION_PATTERN = rf"@(?<![{WORD}]@)([A-Za-z0-9_]+)"
 TOKEN_PATTERN = r"[a-zA-Z][a-zA-Z0-9_]{1,}"
 
-_EDGE_WHITESPACE = rf"^[{WHITESPACE}]+|[{WHITESPACE}]+$"
+_WHITESPACE_CHARACTERS = "".join(filter(str.isspace, map(chr, range(0x3001))))
 _ICU_NORMALIZER = "com.ibm.icu.text.Normalizer"
 
 
@@ -32,7 +32,7 @@ def _is_ascii(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Remove Unicode whitespace at both ends (``F.trim`` only knows U+0020)."""
-    return F.regexp_replace(text, _EDGE_WHITESPACE, "")
+    return F.btrim(text, F.lit(_WHITESPACE_CHARACTERS))
 
 
 def nfkc(text: Column) -> Column:

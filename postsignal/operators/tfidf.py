@@ -39,22 +39,21 @@ def vocabulary(
 ) -> DataFrame:
     """``top_k`` terms by corpus count; ties go to the term that occurs first.
 
-    Each post yields one row per token, one per distinct token with its place among them, and one
-    without term that counts the post. A single hash aggregation by term then has every count and
-    the first occurrence; nothing is grouped by post, so the shuffle carries at most one row per
-    term and task. ``order`` should be a bigint: other types make Spark sort before it aggregates.
+    Each post yields a row without term that counts the post, then its distinct tokens in order of
+    appearance, then all its tokens. A single hash aggregation by term then has every count and the
+    first occurrence; nothing is grouped by post, so the shuffle carries at most one row per term and
+    task. ``order`` should be a bigint: other types make Spark sort before it aggregates.
     """
     _check_size(top_k)
     words = posts.select(F.col(order).alias("_order"), tokens(F.col(text)).alias("_words"))
-    no_place = F.lit(None).cast("int").alias("place")
-    post_mark = F.array(F.struct(F.lit(None).cast("string").alias("term"), no_place))
-    each = F.transform("_words", lambda word: F.struct(word.alias("term"), no_place))
-    distinct = F.transform(
-        F.array_distinct("_words"),
-        lambda word, place: F.struct(word.alias("term"), place.alias("place")),
+    words = words.withColumn("_distinct", F.array_distinct("_words"))
+    post_mark = F.array(F.lit(None).cast("string"))
+    rows = words.select(
+        "_order",
+        F.size("_distinct").alias("_n_distinct"),
+        F.posexplode(F.concat(post_mark, "_distinct", "_words")).alias("place", "term"),
     )
-    rows = words.select("_order", F.inline(F.concat(post_mark, each, distinct)))
-    is_distinct = F.col("place").isNotNull()
+    is_distinct = F.col("place").between(1, F.col("_n_distinct"))
     by_post = F.when(is_distinct, F.col("_order"))
     counts = rows.groupBy("term").agg(
         F.count_if(~is_distinct).alias("corpus_count"),
