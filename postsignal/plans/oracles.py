@@ -388,6 +388,39 @@ FROM signals WHERE timestamp IS NOT NULL GROUP BY 1""",
             "HAVING date_trunc('hour', timestamp) + INTERVAL 1 HOUR <= "
             f"(SELECT max(timestamp) FROM signals) - INTERVAL {STREAM_DELAY.upper()}",
         ),
+        "file_posts": f"""{WITH_POSTS}
+SELECT tweet_id, username, content, CAST(like_count AS VARCHAR) AS like_count, url,
+       'sample_jsonl' AS source_name, 'SUCCESS' AS collector_status FROM posts""",
+        "file_runs": f"""{WITH_POSTS}
+SELECT 'good' AS source_name, 'SUCCESS' AS status, count(*) AS n_records FROM posts
+UNION ALL SELECT 'good', 'SUCCESS', count(*) FROM posts
+UNION ALL SELECT 'strict', 'FAILED', 0
+UNION ALL SELECT 'quarantine', 'SUCCESS', count(*) FROM posts WHERE ingest_seq % 23 NOT IN (1, 2, 3, 5)""",
+        "batch_run": _buckets("date_trunc('hour', timestamp)::TIMESTAMP"),
+        "snapshot": f"""{WITH_HEALTH}
+SELECT (SELECT count(*) FROM documents d JOIN events e ON e.event_id = d.doc_id) AS tweet_count,
+       total_collected, total_duplicates
+FROM health WHERE total_batches = run_batches AND source_name = 'feed_0' AND run_id = 'run_0'""",
+        "stream_dedupe": f"""{WITH_CLEAN}
+SELECT DISTINCT sha256(coalesce(nullif(tweet_id, ''), content_clean, 'None')) AS dedupe_key
+FROM clean""",
+        "stream_scores": f"""{WITH_VOCABULARY},
+all_words AS (SELECT ingest_seq, {_tokens('content_clean')} AS tokens FROM clean),
+all_terms AS (SELECT ingest_seq, unnest(tokens) AS term FROM all_words),
+totals AS (
+    SELECT t.ingest_seq, sum(v.idf) AS weight FROM all_terms t JOIN weighted v ON v.term = t.term
+    GROUP BY t.ingest_seq)
+SELECT c.ingest_seq,
+       round(reply_count + retweet_count * 2 + like_count + ln(view_count + 1) * 0.25, 6)
+           AS engagement_score,
+       round(coalesce(t.weight / len(w.tokens), 0.0), 6) AS tfidf_total
+FROM clean c JOIN all_words w ON w.ingest_seq = c.ingest_seq
+LEFT JOIN totals t ON t.ingest_seq = c.ingest_seq""",
+        "stream_ingest": f"""{WITH_POSTS},
+keyed AS (SELECT *, row_number() OVER (PARTITION BY {record_key} ORDER BY ingest_seq) AS place FROM posts)
+SELECT source_name, run_id, CAST(0 AS BIGINT) AS batch_seq,
+       count(*) FILTER (WHERE place = 1) AS new_records,
+       count(*) FILTER (WHERE place > 1) AS duplicates FROM keyed GROUP BY source_name, run_id""",
         "source_health": f"""{WITH_HEALTH}
 SELECT source_name, run_id, batch_seq, batch_at, total_batches, total_collected, total_duplicates,
        empty_run, round(records_per_minute, 6) AS records_per_minute,

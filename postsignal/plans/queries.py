@@ -6,6 +6,7 @@ engines give equal values.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,9 +21,15 @@ from postsignal.operators.clean import clean_posts
 from postsignal.operators.features import add_features, add_signals
 from postsignal.operators.rows import first_posts, spread, with_required_values
 from postsignal.plans import driver_tables as tables
-from postsignal.plans.signal_run import post_signals
+from postsignal.plans.signal_run import RunOptions, post_signals, run_from_files
 from postsignal.schema import COUNT_FIELDS, POST_FIELDS, SUCCESS
-from postsignal.sinks.tables import new_folder, post_documents, run_documents, stage
+from postsignal.sinks.tables import (
+    new_folder,
+    post_documents,
+    run_documents,
+    stage,
+    write_snapshot,
+)
 from postsignal.sources import articles, jsonl, runs
 from postsignal.streaming import feed
 
@@ -464,18 +471,116 @@ def signal_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.select(_ntz("timestamp"), _round("composite_signal_mean"))
 
 
+# Files and runs
+
+
+def _posts_as_files(spark: SparkSession, sf_dir: str) -> str:
+    """Posts as JSON lines; the files, and the lines in them, are in ingest order."""
+    path = new_folder(spark, "posts_jsonl")
+    ordered = tables.posts(spark, sf_dir).orderBy("ingest_seq")
+    post_documents(ordered).write.text(path)
+    return path
+
+
 @_register
-def stream_signal_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly buckets of the posts as a stream: those the watermark has closed."""
-    root = new_folder(spark, "stream")
+def file_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts read back from JSON lines, with the envelope of the run that read them."""
+    read = jsonl.read_posts(spark, _posts_as_files(spark, sf_dir))
+    return read.posts.select(
+        "tweet_id", "username", "content", "like_count", "url", "source_name", "collector_status"
+    )
+
+
+@_register
+def file_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status rows of a good run, and of a strict one over files with bad lines."""
+    good = jsonl.read_posts(spark, _posts_as_files(spark, sf_dir), source_name="good")
+    path = new_folder(spark, "bad_jsonl")
+    _json_lines(spark, sf_dir).select("line").write.text(path)
+    strict = jsonl.read_posts(spark, path, source_name="strict")
+    quarantine = jsonl.read_posts(spark, path, mode=jsonl.QUARANTINE, source_name="quarantine")
+    chosen = jsonl.choose_source(strict, good)
+    found = jsonl.runs_frame(spark, [good, strict, quarantine, chosen])
+    return found.select("source_name", "status", "n_records")
+
+
+@_register
+def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run, from JSON lines to the written buckets."""
+    source = _posts_as_files(spark, sf_dir)
+    options = RunOptions(as_of=tables.AS_OF)
+    result = run_from_files(spark, source, None, new_folder(spark, "run"), options=options)
+    return _shown_buckets(spark.read.parquet(result.paths["aggregated"]))
+
+
+@_register
+def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of a JSON snapshot of all posts, with the metrics of one run."""
+    metrics = H.run_metrics(H.source_health(tables.ingest_batches(spark, sf_dir)))
+    one = metrics.where((F.col("source_name") == "feed_0") & (F.col("run_id") == "run_0"))
+    folder = new_folder(spark, "snapshot")
+    write_snapshot(tables.posts(spark, sf_dir), one, folder, os.path.basename(folder))
+    summary = spark.read.json(f"{folder}/summary")
+    return summary.select("tweet_count", "metrics.total_collected", "metrics.total_duplicates")
+
+
+# Streams
+
+
+def _post_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts as a stream of events joined with the documents they stand for."""
     reader = spark.readStream.schema(tables.SCHEMAS["events"])
     events = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     documents = spread(tables.table(spark, sf_dir, "documents"), "doc_id")
-    cleaned = clean_posts(tables.with_entities(spark.sql(tables.POSTS, documents=documents, events=events)))
+    return tables.with_entities(spark.sql(tables.POSTS, documents=documents, events=events))
+
+
+def _streamed(frame: DataFrame) -> DataFrame:
+    """Run a stream over all there is and read its output."""
+    spark = frame.sparkSession
+    root = new_folder(spark, "stream")
+    feed.write_stream(frame, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+@_register
+def stream_signal_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly buckets of the posts as a stream: those the watermark has closed."""
+    cleaned = clean_posts(_post_stream(spark, sf_dir))
     scored = add_signals(cleaned, tables.AS_OF).withWatermark("timestamp", STREAM_DELAY)
-    stream = feed.write_stream(feed.bucket_stream(scored), f"{root}/buckets", f"{root}/checkpoint")
-    stream.awaitTermination()
-    return _shown_buckets(spark.read.parquet(f"{root}/buckets"))
+    return _shown_buckets(_streamed(feed.bucket_stream(scored)))
+
+
+@_register
+def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys of the posts that pass the stream's dedupe."""
+    cleaned = clean_posts(_post_stream(spark, sf_dir), carry=("event_ts",))
+    timed = cleaned.withColumn("event_time", F.col("event_ts").cast("timestamp"))
+    deduped = feed.dedupe_stream(timed, "60 days", "event_time", salts=4)
+    return _streamed(D.with_cleaned_key(deduped).select("dedupe_key"))
+
+
+@_register
+def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TF-IDF of all posts in a stream, with the vocabulary of the deduplicated batch."""
+    terms = T.fit_terms(_deduped(spark, sf_dir))
+    cleaned = clean_posts(_post_stream(spark, sf_dir), carry=("ingest_seq",))
+    total = sum((F.col(f"tfidf_{t.term}") for t in terms), F.lit(0.0))
+    scored = feed.score_stream(cleaned, terms)
+    return _streamed(scored.select("ingest_seq", "engagement_score", total.alias("tfidf_total"))).select(
+        "ingest_seq", _round("engagement_score"), _round("tfidf_total")
+    )
+
+
+@_register
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Health rows of a stream that drops every post seen before."""
+    root = new_folder(spark, "ingest")
+    posts = _post_stream(spark, sf_dir)
+    feed.ingest_with_health(posts, f"{root}/tables", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/tables/ingest_batches").select(
+        "source_name", "run_id", "batch_seq", "new_records", "duplicates"
+    )
 
 
 # Source health
