@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postsignal.functions.scalars import cleaned_key, record_key, sha256_hex
 from postsignal.operators.lookup import join_runs
-from postsignal.operators.rows import with_required_values
+from postsignal.operators.rows import rank_places, with_required_values
 
 
 def first_per_key(posts: DataFrame, key: str, *order: str) -> DataFrame:
@@ -76,6 +76,15 @@ def seen_keys(spark: SparkSession, table: str) -> DataFrame:
     return spark.createDataFrame([], "dedupe_key string")
 
 
+def _up_to(rows: DataFrame, place: Column, ends: DataFrame, run: tuple[str, ...]) -> DataFrame:
+    """Rows up to the end of their run; runs without an end keep all."""
+    if run:
+        rows = join_runs(rows, ends, list(run), "left")
+    else:
+        rows = rows.withColumn("_end", ends.select("_end").scalar())
+    return rows.where(F.col("_end").isNull() | (place <= F.col("_end"))).drop("_end")
+
+
 def count_new_per_batch(
     posts: DataFrame,
     batch: str,
@@ -87,22 +96,20 @@ def count_new_per_batch(
 
     ``batch`` orders the batches of a run, ``position`` the rows of a batch. An id is new where it
     occurs first; rows without id or content are skipped. With ``limit``, a run ends at its
-    ``limit``-th new id and later rows do not count. Only counts and first places leave the map
+    ``limit``-th new id and later rows do not count; ``position`` must then be an integer, unique in
+    its batch. Only counts and first places leave the map
     side: no window gathers all rows of an often repeated id.
     """
+    if limit is not None and limit < 1:
+        raise ValueError("limit must be at least 1")
     # Without a limit the batch alone decides, and a plain column keeps the aggregation hash-based.
     place = F.col(batch) if limit is None else F.struct(batch, position)
     rows = with_required_values(posts)
     firsts = rows.groupBy(*run, "tweet_id").agg(F.min(place).alias("_first"))
     if limit is not None:
-        rank = F.row_number().over(Window.partitionBy(*run).orderBy("_first"))
-        firsts = firsts.withColumn("_rank", rank).where(F.col("_rank") <= limit)
-        ends = firsts.where(F.col("_rank") == limit).select(*run, F.col("_first").alias("_end"))
-        if run:
-            rows = join_runs(rows, ends, list(run), "left")
-        else:
-            rows = rows.withColumn("_end", ends.select("_end").scalar())
-        rows = rows.where(F.col("_end").isNull() | (place <= F.col("_end")))
+        ends = rank_places(firsts, limit, "_first", run).withColumnRenamed("_first", "_end")
+        firsts = _up_to(firsts, F.col("_first"), ends, run)
+        rows = _up_to(rows, place, ends, run)
     seen = rows.groupBy(*run, batch).agg(F.count(F.lit(1)).alias("_seen"))
     first_batch = F.col("_first") if limit is None else F.col("_first").getField(batch)
     new = (

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLOCK_WIDTH = 1_000_000
+TOP_K_ROWS = 1_000_000
 
 
 def with_required_values(posts: DataFrame, columns: tuple[str, ...] = ("tweet_id", "content")) -> DataFrame:
@@ -28,42 +29,48 @@ def spread(frame: DataFrame, key: str, tasks_per_core: int = 2) -> DataFrame:
 
 
 def first_posts(
-    posts: DataFrame, limit: int, order: str = "ingest_seq", take_limit: int = 100_000
+    posts: DataFrame, limit: int, order: str = "ingest_seq", tasks: int | None = None
 ) -> DataFrame:
     """First ``limit`` rows in ingest order.
 
-    Up to ``take_limit`` rows this is a top-k in each task. Larger limits keep every task small: the
-    cut-off value is found from the order column alone and becomes a filter on the scan. That needs
-    a unique order column: an integer, or a struct such as (file, block, line).
+    A top-k sends ``limit`` rows of every task to one. It is used if the caller knows the number of
+    tasks and that product is small. Otherwise the cut-off value is found from the order column
+    alone and becomes a filter on the scan, so posts never gather anywhere. ``order`` must be unique:
+    an integer, or a struct such as (file, block, line).
     """
     if limit < 0:
         raise ValueError("limit must not be negative")
-    if limit == 0 or limit <= take_limit:
+    if limit == 0 or (tasks is not None and limit * tasks <= TOP_K_ROWS):
         return posts.orderBy(order).limit(limit)
-    return posts.where(F.col(order) <= _cutoff(posts.select(order), limit, order))
+    places = posts.select(order)
+    last = places.agg(F.max(order).alias(order))
+    cut = rank_places(places, limit, order).unionByName(last).agg(F.min(order)).scalar()
+    return posts.where(F.col(order) <= cut)
 
 
 def _block(places: DataFrame, order: str) -> Column:
-    """A coarser value that sorts like ``order``: bounded ranges of it, or all but its last field."""
+    """A coarser value that sorts like ``order`` and holds at most ``BLOCK_WIDTH`` unique places."""
     kind = places.schema[order].dataType
-    if isinstance(kind, T.StructType):
-        return F.struct(*(F.col(f"{order}.{name}") for name in kind.fieldNames()[:-1]))
-    return F.floor(F.col(order) / F.lit(BLOCK_WIDTH)).cast("bigint")
+    if not isinstance(kind, T.StructType):
+        return F.floor(F.col(order) / F.lit(BLOCK_WIDTH)).cast("bigint")
+    *leading, last = (F.col(f"{order}.{name}").alias(name) for name in kind.fieldNames())
+    return F.struct(*leading, F.floor(last / F.lit(BLOCK_WIDTH)).cast("bigint").alias("range"))
 
 
-def _cutoff(places: DataFrame, limit: int, order: str) -> Column:
-    """Value of ``order`` at rank ``limit`` (its maximum when there are fewer rows), as a subquery.
+def rank_places(
+    places: DataFrame, rank: int, order: str, keys: tuple[str, ...] = ()
+) -> DataFrame:
+    """The value of ``order`` at ``rank`` (from 1) within each key; keys with fewer rows have none.
 
-    Counts per block find the block that holds the rank, and only its values are ranked. One task
-    adds up the block counts: one row per million integers, or per block of a file.
+    Counts per block find the block that holds the rank, and only its values are ranked. A task adds
+    up the block counts of a key: one row per ``BLOCK_WIDTH`` places.
     """
-    blocks = places.withColumn("_block", _block(places, order))
-    counts = blocks.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = places.select(*keys, order, _block(places, order).alias("_block"))
+    counts = blocks.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    holder = counts.where((F.col("_before") < limit) & (F.col("_before") + F.col("_n") >= limit))
-    inside = blocks.join(F.broadcast(holder), "_block")
-    rank = F.row_number().over(Window.partitionBy("_block").orderBy(order)) + F.col("_before")
-    cut = inside.withColumn("_rank", rank).where(F.col("_rank") == limit).select(order)
-    last = places.agg(F.max(order).alias(order))
-    return cut.unionByName(last).agg(F.min(order)).scalar()
+    holder = counts.where((F.col("_before") < rank) & (F.col("_before") + F.col("_n") >= rank))
+    # Without keys the holder is a single row; with keys a block spreads over the join's tasks.
+    inside = blocks.join(holder if keys else F.broadcast(holder), [*keys, "_block"])
+    place = F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(order)) + F.col("_before")
+    return inside.withColumn("_place", place).where(F.col("_place") == rank).select(*keys, order)

@@ -296,13 +296,13 @@ def jsonl_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def limit_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = tables.posts(spark, sf_dir).select("ingest_seq", "tweet_id", "content")
-    return first_posts(posts, LIMIT)
+    return first_posts(posts, LIMIT, tasks=2 * spark.sparkContext.defaultParallelism)
 
 
 @_register
 def limit_posts_by_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = tables.posts(spark, sf_dir).select("ingest_seq", "tweet_id", "content")
-    return first_posts(posts, LIMIT, take_limit=0)
+    return first_posts(posts, LIMIT)
 
 
 def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -138,7 +138,7 @@ def read_posts(
         raise ValueError("limit must not be negative")
     started_at = datetime.now(timezone.utc)
     error: str | None = None
-    n_records = 0
+    n_good = n_records = 0
     nothing = spark.createDataFrame([], T.StructType([T.StructField("line", T.StringType())]))
     parsed = parse_lines(nothing.withColumn("ingest_seq", F.lit(0).cast("bigint")))
     try:
@@ -151,7 +151,8 @@ def read_posts(
         if mode == STRICT and counts["bad"]:
             error = f"invalid post in {counts['first']['ingest_seq']['file']}: {counts['first']['reason']}"
         else:
-            n_records = counts["good"] if limit is None else min(counts["good"], limit)
+            n_good = counts["good"]
+            n_records = n_good if limit is None else min(n_good, limit)
         parsed = lines
     except Exception as failure:  # a source that cannot be read is a status, not a crash
         error = str(failure)
@@ -160,8 +161,8 @@ def read_posts(
     posts = post_columns(parsed, "ingest_seq")
     if status == FAILED:
         posts = posts.limit(0)
-    elif limit is not None:
-        posts = first_posts(posts, limit)
+    elif limit is not None and limit < n_good:
+        posts = first_posts(posts, limit, tasks=lines.rdd.getNumPartitions())
     enveloped = with_envelope(posts, source_name, status, started_at, ended_at)
     run = Row(*SOURCE_RUN_SCHEMA.fieldNames())(
         source_name, run_id, status, started_at, ended_at, n_records, message

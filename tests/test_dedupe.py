@@ -89,7 +89,8 @@ def sequential_counts(rows, limit):
 
 
 @pytest.mark.parametrize("limit", [None, 1, 6, 1000])
-def test_new_and_duplicate_counts(spark, limit):
+def test_new_and_duplicate_counts(spark, monkeypatch, limit):
+    monkeypatch.setattr("postsignal.operators.rows.BLOCK_WIDTH", 3)
     random.seed(11)
     rows = [
         (f"r{random.randint(0, 2)}", random.randint(0, 6), i, random.choice(["", None, *"abcdefgh"]), random.choice(["t", "t", ""]))
@@ -108,7 +109,7 @@ def test_new_and_duplicate_counts(spark, limit):
 def test_first_posts_by_cutoff(spark, monkeypatch, limit):
     monkeypatch.setattr("postsignal.operators.rows.BLOCK_WIDTH", 100)
     posts = spark.range(1000).select((F.col("id") * 3 + 7).alias("ingest_seq")).repartition(5)
-    got = first_posts(posts, limit, take_limit=-1)
+    got = first_posts(posts, limit)
     assert sorted(r[0] for r in got.collect()) == [i * 3 + 7 for i in range(min(limit, 1000))]
 
 
@@ -118,8 +119,8 @@ def test_first_posts_by_struct_order(spark):
     )
     posts = spark.range(90).select(place.alias("ingest_seq"), "id").repartition(4)
     wanted = sorted(range(90), key=lambda i: (i % 3, i))[:40]
-    for take_limit in (0, 100):
-        got = first_posts(posts, 40, take_limit=take_limit).select("id").collect()
+    for tasks in (None, 4):
+        got = first_posts(posts, 40, tasks=tasks).select("id").collect()
         assert sorted(r[0] for r in got) == sorted(wanted)
 
 

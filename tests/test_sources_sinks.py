@@ -72,8 +72,8 @@ def test_limit_takes_the_first_lines(spark, tmp_path, monkeypatch):
     path = write_lines(tmp_path / "in.jsonl", *(record(str(i)) for i in range(3000)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
     try:
-        for take in (100_000, 0):
-            monkeypatch.setattr(jsonl, "first_posts", lambda p, n, take=take: jsonl_first(p, n, take))
+        for top_k_rows in (1_000_000, 0):
+            monkeypatch.setattr("postsignal.operators.rows.TOP_K_ROWS", top_k_rows)
             read = jsonl.read_posts(spark, path, limit=700)
             assert read.run["n_records"] == 700
             assert sorted(int(r.tweet_id) for r in read.posts.collect()) == list(range(700))
@@ -85,12 +85,6 @@ def test_limit_takes_the_first_lines(spark, tmp_path, monkeypatch):
         jsonl.read_posts(spark, path, limit=-1)
 
 
-def jsonl_first(posts, limit, take):
-    from postsignal.operators.rows import first_posts
-
-    return first_posts(posts, limit, take_limit=take)
-
-
 RUN_COLUMNS = (
     "source_name string, run_id string, raw_status string, error_kind string, error_message string, "
     "n_records bigint, row_limit bigint, degraded_before_start boolean, started_at timestamp, ended_at timestamp"
