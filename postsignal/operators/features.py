@@ -19,26 +19,24 @@ def add_signals(
     half_life_hours: float = signals.HALF_LIFE_HOURS,
 ) -> DataFrame:
     """Engagement, lexical sentiment, recency decay and composite signal; narrow expressions only."""
-    scored = posts.withColumns(
+    # A column of their own: inside the conditional the tokens would be cut once per lexicon.
+    scored = posts.withColumn("_words", tokens(F.col("content_clean"))).withColumns(
         {
             "engagement_score": signals.engagement_score(
                 F.col("reply_count"), F.col("retweet_count"), F.col("like_count"), F.col("view_count")
             ),
             "lexical_sentiment": F.when(
-                F.col("content_clean").isNotNull(),
-                signals.lexical_sentiment(tokens(F.col("content_clean"))),
+                F.col("content_clean").isNotNull(), signals.lexical_sentiment(F.col("_words"))
             ),
             "recency_decay": signals.recency_decay(
                 F.col("timestamp"), as_of_column(as_of), half_life_hours
             ),
         }
     )
-    return scored.withColumn(
-        "composite_signal",
-        signals.composite_signal(
-            F.col("lexical_sentiment"), F.col("engagement_score"), F.col("recency_decay")
-        ),
+    composite = signals.composite_signal(
+        F.col("lexical_sentiment"), F.col("engagement_score"), F.col("recency_decay")
     )
+    return scored.withColumn("composite_signal", composite).drop("_words")
 
 
 def add_features(

@@ -176,16 +176,18 @@ def dedupe_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = text.tokens(F.col("content"))
-    return tables.posts(spark, sf_dir).select(
-        "ingest_seq", F.size(words).alias("n_tokens"), F.array_join(words, " ").alias("tokens")
+    posts = tables.posts(spark, sf_dir)
+    words = posts.select("ingest_seq", text.tokens(F.col("content")).alias("words"))
+    return words.select(
+        "ingest_seq", F.size("words").alias("n_tokens"), F.array_join("words", " ").alias("tokens")
     )
 
 
 @_register
 def sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    score = signals.lexical_sentiment(text.tokens(F.col("content_clean")))
-    return _clean(spark, sf_dir).select("ingest_seq", score.alias("lexical_sentiment"))
+    words = _clean(spark, sf_dir).select("ingest_seq", text.tokens(F.col("content_clean")).alias("words"))
+    score = signals.lexical_sentiment(F.col("words"))
+    return words.select("ingest_seq", score.alias("lexical_sentiment"))
 
 
 @_register

@@ -50,8 +50,12 @@ class RunResult:
 
 
 def post_signals(posts: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    """Raw posts to deduplicated posts with signals, as one lazy plan."""
-    return add_signals(dedupe_posts(clean_posts(posts, carry=("ingest_seq",))), as_of)
+    """Raw posts to deduplicated posts with signals, as one lazy plan.
+
+    Signals depend on their own row alone, so they are computed ahead of the dedupe: a reader that
+    wants no text, such as the bucket aggregate, then has no text in the shuffle.
+    """
+    return dedupe_posts(add_signals(clean_posts(posts, carry=("ingest_seq",)), as_of))
 
 
 def signal_buckets(posts: DataFrame, every: str = "1h", as_of: datetime | None = None) -> DataFrame:
