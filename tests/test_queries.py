@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import connect, differences
+from postsignal.plans import oracles
+from postsignal.plans import queries as registry
 
 DATA = "/root/testdata/sf0.001"
 
@@ -20,10 +22,10 @@ def duck():
 
 
 def test_every_query_has_a_statement():
-    assert set(entry_points.oracle_sql()) == set(entry_points.queries())
+    assert set(oracles.oracle_sql()) == set(registry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_duckdb(spark, duck, name):
     ours = entry_points.queries()[name](spark, DATA).toPandas()
     theirs = duck.execute(entry_points.oracle_sql()[name]).df()
