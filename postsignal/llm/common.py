@@ -180,7 +180,7 @@ def unpack(data: bytes, n: int, kind: type) -> np.ndarray:
 
 
 #: Counters travel in pieces of this many.
-_PIECE = 1 << 14
+_PIECE = 1 << 17
 COUNT_ROWS = "place long, counts binary"
 
 

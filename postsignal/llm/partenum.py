@@ -11,9 +11,12 @@ as many as must still include a shared one, those with the rarest shingles first
 documents share brings no pairs. Sets that hold nothing rarer send *common* signatures too; these travel
 as plain rows, which joins may split, and the others packed by bucket.
 
-Within the sets of a signature only pairs with the smallest one are checked at first; a second pass checks
-the pairs whose sets are not connected by then. So a group of copies costs its size, not its square, and no
-link between different components stays unchecked: components are exact.
+Within the sets of a signature only pairs with the smallest one are checked at first. All sets met with one
+smallest set are a family; a second pass compares the members of a family that are not connected by then. So
+a group of copies costs its size, not its square, and no link between different components stays unchecked:
+components are exact. Both passes first compare parity sketches: bit j tells whether an odd number of elements
+hashes to j, so two sketches never differ in more bits than the sets in elements. Whole sets travel only for
+pairs that pass.
 """
 
 from __future__ import annotations
@@ -48,11 +51,16 @@ WORDS = 5
 #: Similarity as a ratio of whole numbers.
 NUMERATOR, DENOMINATOR = 75, 100
 #: Counters of the shingle frequency sketch (its size does not grow with the input).
-COUNTERS = 1 << 18
+COUNTERS = 1 << 22
 #: Packed signatures of about this many rows make one bucket.
 BUCKET_ROWS = 1 << 20
 #: A shingle found in more than this share of all sets makes its signatures common.
 COMMON_SHARE = 1 / 500
+#: Members of a family that are compared at a time, and the most bits of a parity sketch.
+FAMILY = 2048
+MOST_BITS = 1 << 15
+#: Rows of families that a task compares, about.
+BUNDLE = 20_000
 #: Parts over those needed, so that rare signatures can be picked.
 SPARE = 1.25
 _KEYS = np.random.default_rng(8).integers(1, 1 << 62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -247,6 +255,51 @@ def _shared(sent: DataFrame) -> DataFrame:
     return grouped(sent, "bucket", work, "sig long, node long, least long")
 
 
+def parity(shingles: np.ndarray) -> bytes:
+    """The parity sketch of a set: as many bits as the next power of two, 64 to ``MOST_BITS``."""
+    bits = min(MOST_BITS, max(64, 1 << (len(shingles) - 1).bit_length()))
+    at = np.bincount((mix(shingles ^ _KEYS[30]) % np.uint64(bits)).astype(np.int64), minlength=bits)
+    return np.packbits((at % 2).astype(np.uint8)).tobytes()
+
+
+def _folded(sketch: np.ndarray, width: int) -> np.ndarray:
+    """Sketches (one in a row) as sketches of ``width`` bytes: halves are added bit by bit, parities stay right."""
+    while sketch.shape[-1] > width:
+        half = sketch.shape[-1] // 2
+        sketch = sketch[..., :half] ^ sketch[..., half:]
+    return sketch
+
+
+def _may_link(size: int, sketch: np.ndarray, sizes: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Whether a set may be similar to others that have sketches of the same width."""
+    apart = np.bitwise_count(others ^ sketch).sum(axis=1, dtype=np.int64)
+    near = np.minimum(sizes, size) * DENOMINATOR >= np.maximum(sizes, size) * NUMERATOR
+    return near & (apart * (DENOMINATOR + NUMERATOR) <= (sizes + size) * (DENOMINATOR - NUMERATOR))
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame, what: str) -> DataFrame:
+    left = sets.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.col(what).alias("what_a"))
+    right = sets.select(F.col("node").alias("b"), F.col("size").alias("size_b"), F.col(what).alias("what_b"))
+    both = pairs.join(left, "a").join(right, "b")
+    near = F.least("size_a", "size_b") * DENOMINATOR >= F.greatest("size_a", "size_b") * NUMERATOR
+    return both.filter(near).select("a", "b", "size_a", "size_b", "what_a", "what_b")
+
+
+def _promising(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose sketches allow a link."""
+
+    def work(parts):
+        for part in parts:
+            keep = []
+            for m, n, x, y in zip(*(part.column(i).to_pylist() for i in range(2, 6))):
+                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                width = min(len(x), len(y))
+                keep.append(bool(_may_link(m, _folded(x, width), np.array([n]), _folded(y, width)[None])[0]))
+            yield pa.record_batch([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return batches(_with_sets(pairs, sets, "sketch"), work, "a long, b long")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose sets are similar."""
 
@@ -254,21 +307,64 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for part in parts:
             keep = [
                 similar(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64))
-                for x, y in zip(part.column(2), part.column(3))
+                for x, y in zip(part.column(4), part.column(5))
             ]
             yield pa.record_batch([part.column(0), part.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("data").alias("data_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("data").alias("data_b"))
-    sizes = sets.select("node", "size")
-    near = (
-        pairs.join(sizes.withColumnsRenamed({"node": "a", "size": "x"}), "a")
-        .join(sizes.withColumnsRenamed({"node": "b", "size": "y"}), "b")
-        .filter(F.least("x", "y") * DENOMINATOR >= F.greatest("x", "y") * NUMERATOR)
-        .select("a", "b")
+    return batches(_with_sets(pairs, sets, "data"), work, "a long, b long")
+
+
+def _compared(node: np.ndarray, component: np.ndarray, own: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> Iterator[np.ndarray]:
+    """Pairs of one or two blocks of a family, ordered by size, that may link and are not connected."""
+    if (component == component[0]).all():
+        return
+    two = (own != own[0]).any()
+    width = np.array([len(s) for s in sketch])
+    last = np.searchsorted(size, size * DENOMINATOR // NUMERATOR, side="right")
+    for w in np.unique(width):
+        level = np.flatnonzero((width == w) | (width == 2 * w))
+        folded = np.stack([_folded(np.frombuffer(sketch[i], np.uint8), w) for i in level])
+        for place in range(int((width[level] == w).sum())):
+            i = level[place]
+            rest = slice(place + 1, place + 1 + int(last[i] - i - 1))
+            at = level[rest]
+            may = (component[at] != component[i]) & ((own[at] != own[i]) | (not two))
+            if may.any():
+                hit = at[may][_may_link(size[i], folded[place], size[at[may]], folded[rest][may])]
+                yield np.column_stack((np.full(len(hit), node[i]), node[hit]))
+
+
+def _between_components(pairs: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of members of one family in different components whose sketches allow a link.
+
+    A family is compared in blocks of up to ``FAMILY`` members, so no task holds more than two blocks.
+    """
+    members = pairs.select(F.col("a").alias("family"), F.col("b").alias("node"))
+    members = members.union(pairs.select("a", F.col("a").alias("node"))).distinct().join(labels, "node", "left")
+    members = members.select("family", "node", F.coalesce("component", "node").alias("component"))
+    mixed = members.groupBy("family").agg(
+        F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high")
     )
-    both = near.join(left, "a").join(right, "b").select("a", "b", "data_a", "data_b")
-    return batches(both, work, "a long, b long")
+    mixed = mixed.filter("low < high").select("family", F.ceil(F.col("size") / FAMILY).alias("blocks"))
+    rows = members.join(mixed, "family").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.withColumn("key", F.xxhash64("family", F.least("own", "other"), F.greatest("own", "other")))
+    rows = rows.join(sets.select("node", "size", "sketch"), "node")
+
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["key", "size", "node"], kind="stable")
+        columns = [pdf[c].to_numpy() for c in ("node", "component", "own", "size", "sketch")]
+        key = pdf["key"].to_numpy()
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.empty(0, np.int64)
+        out = [pair for low, high in zip(first, np.append(first[1:], len(key))) for pair in _compared(*(c[low:high] for c in columns))]
+        ends = np.concatenate(out) if out else np.empty((0, 2), np.int64)
+        return pd.DataFrame({"a": ends.min(axis=1), "b": ends.max(axis=1)} if len(ends) else {"a": [], "b": []}, dtype="int64")
+
+    # Many blocks are small, so a task takes them in bundles.
+    bundles = max(1, int(rows.count()) // BUNDLE)
+    rows = rows.select(F.pmod(F.col("key"), F.lit(bundles)).alias("bundle"), "key", "node", "component", "own", "size", "sketch")
+    found = grouped(rows, "bundle", work, "a long, b long")
+    return found.distinct().join(pairs, ["a", "b"], "left_anti")
 
 
 def similar_groups(documents: DataFrame, n: int = WORDS) -> DataFrame:
@@ -302,28 +398,19 @@ def similar_groups(documents: DataFrame, n: int = WORDS) -> DataFrame:
 
     def contents(parts):
         for part in parts:
-            found = [(set_key(s), len(s), s.tobytes()) for t in slices(part.column(1)) for _, s in text_sets(t, n) if len(s)]
-            kinds = [pa.int64(), pa.int64(), pa.binary()]
-            columns = zip(*found) if found else ((), (), ())
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["node", "size", "data"])
+            found = [(set_key(s), len(s), parity(s), s.tobytes()) for t in slices(part.column(1)) for _, s in text_sets(t, n) if len(s)]
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+            columns = zip(*found) if found else ((), (), (), ())
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["node", "size", "sketch", "data"])
 
     # A set may come more than once where rows share a doc_id; any one will do. Sets that only rows without an id hold are read by their key.
     nameless = documents.filter("doc_id IS NULL")
-    found = batches(texts.union(nameless), contents, "node long, size long, data binary").join(met, "node", "left_semi")
-    sets = staged(found.groupBy("node").agg(F.first("size").alias("size"), F.first("data").alias("data")), "contents")
+    found = batches(texts.union(nameless), contents, "node long, size long, sketch binary, data binary").join(met, "node", "left_semi")
+    sets = staged(found.groupBy("node").agg(*(F.first(c).alias(c) for c in ("size", "sketch", "data"))), "contents")
 
-    edges = staged(_verified(pairs, sets), "links")
+    edges = staged(_verified(_promising(pairs, sets), sets), "links")
     labels = components(edges)
-
-    # Sets that share a signature but no component yet.
-    grouped = shared.select("sig", "node").distinct().join(labels, "node", "left")
-    grouped = staged(grouped.select("sig", "node", F.coalesce("component", "node").alias("component")), "grouped")
-    mixed = grouped.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    rest = grouped.join(mixed.select("sig"), "sig", "left_semi")
-    other = rest.select("sig", F.col("node").alias("b"), F.col("component").alias("component_b"))
-    apart = rest.withColumnRenamed("node", "a").join(other, "sig").filter("a < b AND component <> component_b")
-    unseen = apart.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    more = staged(_verified(unseen, sets), "links")
+    more = staged(_verified(_between_components(pairs, labels, sets), sets), "links")
     if not more.isEmpty():
         labels = components(edges.union(more))
 

@@ -70,7 +70,7 @@ def _licenses() -> str:
         (phrase.split(), label, " AND ".join(f"w[i + {k}] = {_quoted(word)}" for k, word in enumerate(phrase.split())))
         for phrase, label in license_join.PHRASES.items()
     ]
-    places = ", ".join(f"list_transform(list_filter(range(1, len(w) + 1), i -> {test}), i -> i - 1) AS p{n}" for n, (_, _, test) in enumerate(phrases))
+    places = ", ".join(f"list_transform(list_filter(range(1, len(w) + 1), lambda i: {test}), lambda i: i - 1) AS p{n}" for n, (_, _, test) in enumerate(phrases))
     base = ", ".join(f"CASE WHEN len(p{n}) > 0 THEN {_quoted(label)} END" for n, (_, label, _) in enumerate(phrases))
     every = " || ".join(f"p{n}" for n in range(len(phrases)))
     num, den = license_join.CONTAINMENT
@@ -79,7 +79,7 @@ def _licenses() -> str:
 WITH words AS (SELECT rowid AS r, doc_id, {_lower('text')} AS t, regexp_extract_all({_lower('text')}, {words}) AS w
                FROM (SELECT row_number() OVER () AS rowid, doc_id, text FROM documents)),
 places AS (SELECT r, doc_id, len(w) AS n_words, {places} FROM words),
-based AS (SELECT r, doc_id, n_words, list_sort({every}) AS p, list_filter([{base}], x -> x IS NOT NULL) AS b FROM places),
+based AS (SELECT r, doc_id, n_words, list_sort({every}) AS p, list_filter([{base}], lambda x: x IS NOT NULL) AS b FROM places),
 templates AS (SELECT label, list_distinct(regexp_extract_all({_lower('text')}, {words})) AS ws FROM (VALUES {templates}) v(label, text)),
 lines AS (SELECT r, list_distinct(regexp_extract_all(line, {words})) AS ws FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM words)),
 shares AS (SELECT r, label, max(CAST(len(list_intersect(l.ws, t.ws)) AS DOUBLE) / len(t.ws)) AS share FROM lines l, templates t
@@ -98,7 +98,7 @@ def _groups() -> str:
     return f"""
 WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({_lower('text')}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {n} THEN [array_to_string(w, ' ')]
-         ELSE list_distinct(list_transform(range(1, len(w) - {n - 2}), i -> {run})) END AS s FROM words),
+         ELSE list_distinct(list_transform(range(1, len(w) - {n - 2}), lambda i: {run})) END AS s FROM words),
 shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
 shared AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS x, any_value(b.n) AS y, count(*) AS c
            FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
