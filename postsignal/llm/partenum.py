@@ -330,13 +330,27 @@ def _compared(node: np.ndarray, component: np.ndarray, own: np.ndarray, size: np
             at = level[rest]
             may = (component[at] != component[i]) & ((own[at] != own[i]) | (not two))
             if may.any():
-                hit = at[may][_may_link(size[i], folded[place], size[at[may]], folded[rest][may])]
-                yield np.column_stack((np.full(len(hit), node[i]), node[hit]))
+                hit = np.flatnonzero(may)
+                hit = hit[_may_link(size[i], folded[place], size[at[hit]], folded[rest][hit])]
+                apart = np.bitwise_count(folded[rest][hit] ^ folded[place]).sum(axis=1, dtype=np.int64)
+                other, mine = component[at[hit]], np.full(len(hit), component[i])
+                yield np.column_stack((np.full(len(hit), node[i]), node[at[hit]], np.minimum(mine, other), np.maximum(mine, other), apart))
 
 
-def _between_components(pairs: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+def _closest(pairs: np.ndarray, most: int) -> np.ndarray:
+    """Of the pairs of every two components, up to ``most`` with the closest sketches."""
+    order = np.lexsort((pairs[:, 1], pairs[:, 0], pairs[:, 4], pairs[:, 3], pairs[:, 2]))
+    pairs = pairs[order]
+    new = np.concatenate(([True], (pairs[1:, 2:4] != pairs[:-1, 2:4]).any(axis=1)))
+    first = np.flatnonzero(new)
+    return pairs[np.arange(len(pairs)) - np.repeat(first, np.diff(np.append(first, len(pairs)))) < most, :2]
+
+
+def _between_components(pairs: DataFrame, labels: DataFrame, sets: DataFrame, most: int | None) -> DataFrame:
     """Pairs ``a, b`` of members of one family in different components whose sketches allow a link.
 
+    With ``most``, only so many for every two components of a family, the closest; else all of them.
+
     A family is compared in blocks of up to ``FAMILY`` members, so no task holds more than two blocks.
     """
     members = pairs.select(F.col("a").alias("family"), F.col("b").alias("node"))
@@ -356,8 +370,12 @@ def _between_components(pairs: DataFrame, labels: DataFrame, sets: DataFrame) ->
         columns = [pdf[c].to_numpy() for c in ("node", "component", "own", "size", "sketch")]
         key = pdf["key"].to_numpy()
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.empty(0, np.int64)
-        out = [pair for low, high in zip(first, np.append(first[1:], len(key))) for pair in _compared(*(c[low:high] for c in columns))]
-        ends = np.concatenate(out) if out else np.empty((0, 2), np.int64)
+        out = [np.empty((0, 2), np.int64)]
+        for low, high in zip(first, np.append(first[1:], len(key))):
+            if found := list(_compared(*(c[low:high] for c in columns))):
+                found = np.concatenate(found)
+                out.append(_closest(found, most) if most and len(found) else found[:, :2])
+        ends = np.concatenate(out)
         return pd.DataFrame({"a": ends.min(axis=1), "b": ends.max(axis=1)} if len(ends) else {"a": [], "b": []}, dtype="int64")
 
     # Many blocks are small, so a task takes them in bundles.
@@ -410,9 +428,12 @@ def similar_groups(documents: DataFrame, n: int = WORDS) -> DataFrame:
 
     edges = staged(_verified(_promising(pairs, sets), sets), "links")
     labels = components(edges)
-    more = staged(_verified(_between_components(pairs, labels, sets), sets), "links")
-    if not more.isEmpty():
-        labels = components(edges.union(more))
+    # First the likeliest pairs of every two components, which connect most of them, then all that are left.
+    for most in (2, None):
+        more = staged(_verified(_between_components(pairs, labels, sets, most), sets), "links")
+        if not more.isEmpty():
+            edges = edges.union(more)
+            labels = components(edges)
 
     named = keys.join(labels, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "node").alias("component"), "node"

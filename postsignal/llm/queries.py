@@ -5,8 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from postsignal.llm import bootstrap_pii, knn_quality, license_join, nb_toxicity, partenum, template_leaks, two_fit_packing
+from pyspark.sql import functions as F
+
+from postsignal.llm import (
+    bootstrap_pii,
+    elias_fano_lm,
+    knn_quality,
+    license_join,
+    nb_toxicity,
+    partenum,
+    prefix_forest,
+    template_leaks,
+    two_fit_packing,
+    warc_index,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +27,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return elias_fano_lm.model_scores(_table(spark, sf_dir, "documents"))
+
+
 def op2_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return two_fit_packing.pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -35,6 +51,11 @@ def op6_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bootstrap_pii.personal_data(_table(spark, sf_dir, "documents"))
 
 
+def op7_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = warc_index.archived(_table(spark, sf_dir, "pages"))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_partenum_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.similar_groups(_table(spark, sf_dir, "documents"))
 
@@ -43,15 +64,22 @@ def op9_knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn_quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op10_prefix_forest_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_forest.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def queries() -> dict[str, Query]:
     own = (
+        op1_elias_fano_lm,
         op2_best_two_fit_packing,
         op3_template_decontamination,
         op4_nb_char_toxicity,
         op5_license_set_join,
         op6_bootstrapped_pii,
+        op7_warc_index_merge,
         op8_partenum_jaccard,
         op9_knn_quality,
+        op10_prefix_forest_search,
     )
     return {query.__name__: query for query in own}
 
@@ -108,5 +136,20 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b F
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, (SELECT min(b) FROM reach WHERE reach.a = sets.doc_id) AS component_id FROM sets"""
 
 
+def _archives() -> str:
+    least = warc_index.LEAST_BYTES
+    return f"""
+WITH payloads AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+last AS (SELECT d, max(page_id) AS page FROM payloads WHERE n >= {least} GROUP BY d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= {least} AND page <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= {least} AND page <> page_id THEN page END AS refers_to
+FROM payloads LEFT JOIN last USING (d)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_license_set_join": _licenses(), "op8_partenum_jaccard": _groups()}
+    return {
+        "op5_license_set_join": _licenses(),
+        "op7_warc_index_merge": _archives(),
+        "op8_partenum_jaccard": _groups(),
+    }
