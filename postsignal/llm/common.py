@@ -10,6 +10,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -46,11 +47,30 @@ def staged(frame: DataFrame, name: str) -> DataFrame:
 
 
 _SHIPPED: set[str] = set()
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows that a task of Python gets at a time.
+BATCH_ROWS = 1000
+
+
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int):
+    """Within it, frames that are written use batches of so many rows: for rows of megabytes."""
+    before = spark.conf.get(_BATCH, None)
+    spark.conf.set(_BATCH, rows)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_BATCH) if before is None else spark.conf.set(_BATCH, before)
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application: their path need not hold it."""
+    """Send this package to the executors, once per application: their path need not hold it.
+
+    Rows hold whole texts, so batches are cut to ``BATCH_ROWS`` where the session has no smaller number.
+    """
     context = spark.sparkContext
+    if int(spark.conf.get(_BATCH, "10000")) > BATCH_ROWS:
+        spark.conf.set(_BATCH, BATCH_ROWS)
     if context.applicationId not in _SHIPPED:
         package = Path(__file__).resolve().parents[1]
         base = f"{tempfile.mkdtemp(prefix='postsignal-code-')}/postsignal_code"
