@@ -1,0 +1,399 @@
+"""The ten operators on small tables: against brute force, and on nulls, empty and long texts, ties and repeats."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+from itertools import combinations
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from postsignal.llm import (
+    bootstrap_pii,
+    common,
+    elias_fano_lm,
+    knn_quality,
+    license_join,
+    nb_toxicity,
+    partenum,
+    prefix_forest,
+    template_leaks,
+    two_fit_packing,
+    warc_index,
+)
+
+WORDS = [f"{a}{b}" for a in ("al", "be", "cor", "du", "en", "fi") for b in ("na", "ro", "sti", "m", "tu", "k", "x1")]
+
+
+def sentence(seed: int, n: int) -> str:
+    pick = random.Random(seed)
+    return " ".join(pick.choice(WORDS) + str(pick.randrange(40)) * (pick.random() < 0.3) for _ in range(n))
+
+
+LONG = sentence(99, 30_000)
+TEXTS = [
+    (1, sentence(1, 60)),
+    (2, sentence(1, 60)),
+    (3, sentence(1, 60) + " one more"),
+    (4, sentence(2, 200)),
+    (5, sentence(2, 190)),
+    (6, ""),
+    (7, None),
+    (8, "  \n\t "),
+    (9, "Two words"),
+    (10, "two WORDS"),
+    (11, LONG),
+    (12, LONG + " end"),
+    (13, "mail a.b@c.example.org, ip 10.0.0.7, card 4111 1111 1111 1111, call +1 (212) 555-0100."),
+    (13, "mail a.b@c.example.org, ip 10.0.0.7, card 4111 1111 1111 1111, call +1 (212) 555-0100."),
+    (None, sentence(3, 40)),
+    (None, None),
+    (14, "Licensed under the Apache License, Version 2.0.\nReleased under the MIT License"),
+    (15, sentence(4, 12) + " <|endoftext|>  double  space\n\nlines é  ü"),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "en", "s", len(t or ""), "clash", 7, 1.5) for i, t in TEXTS]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, labels string, node long, score double")
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    rows = [(i, i % 2, (i + 1) % 2) for i in range(1, 14)] + [(3, None, None), (None, 1, 1), (4, 0, 1), (4, 1, 1)]
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def spaced(text):
+    return [w for w in re.split("[\x20\t-\r]+", lowered(text)) if w]
+
+
+def key(value):
+    return tuple((x is not None and x == x, str(x)) for x in value)
+
+
+def same(found, expected):
+    assert sorted(map(tuple, found), key=key) == sorted(map(tuple, expected), key=key)
+
+
+def test_hashes_do_not_depend_on_the_slice():
+    part = common.Texts(range(3), [b"one two", b"", b"two  one\tone"])
+    _, _, hashes, bounds = part.tokens(common.NOT_SPACE)
+    assert bounds.tolist() == [0, 2, 2, 5] and hashes[0] == hashes[3] == hashes[4] and hashes[1] == hashes[2] != hashes[0]
+
+
+def test_components(spark):
+    pairs = [(i, i + 1) for i in range(1, 30)] + [(50, 40), (60, 50), (70, 71)]
+    found = dict(common.components(spark.createDataFrame(pairs, "a long, b long")).collect())
+    assert found == {**{i: 1 for i in range(1, 31)}, 40: 40, 50: 40, 60: 40, 70: 70, 71: 70}
+
+
+def test_language_model_equals_counts_by_hand(docs):
+    rows = [(i, spaced(t) + [0]) for i, t in TEXTS]
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 if i is not None else False for i, _ in rows]
+    one, two, before = Counter(), Counter(), Counter()
+    for (_, words), out in zip(rows, held):
+        if not out:
+            one.update(words)
+            two.update(zip(["<s>", *words], words))
+            before.update(["<s>", *words[:-1]])
+    n, v = sum(one.values()), len(one)
+    expected = []
+    for (i, words), out in zip(rows, held):
+        base = [(one[w] + 1) / (n + v + 1) for w in words]
+        score = [(two[a, w] + elias_fano_lm.MU * b) / (before[a] + elias_fano_lm.MU) for a, w, b in zip(["<s>", *words], words, base)]
+        expected.append((i, out, len(words), sum(one[w] > 0 for w in words), n, round(sum(map(math.log10, base)), 6), round(sum(map(math.log10, score)), 6)))
+    found = [(*r[:5], round(r[5], 6), round(r[6], 6)) for r in elias_fano_lm.model_scores(docs).collect()]
+    same(found, expected)
+
+
+def test_elias_fano_sequence():
+    values = np.unique(np.random.default_rng(1).integers(0, 1 << 45, 5000, dtype=np.uint64))
+    coded = elias_fano_lm.EliasFano(values)
+    assert (coded.access(np.arange(len(values))) == values).all()
+    ask = np.random.default_rng(2).integers(0, 1 << 45, 3000, dtype=np.uint64)
+    first, last = np.zeros(len(ask), np.int64), np.full(len(ask), len(values))
+    assert (coded.successor(ask, first, last) == np.searchsorted(values, ask)).all()
+    first, last = first + 1000, first + 2000
+    assert (coded.successor(ask, first, last) == np.clip(np.searchsorted(values, ask), 1000, 2000)).all()
+
+
+def test_packing_is_a_round_trip(docs):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected = []
+    for i, text in TEXTS:
+        ids = np.array(whole.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
+        first = (len(ids) - 1) % 1024 + 1
+        cuts = [0, *range(first, len(ids) + 1, 1024)]
+        expected += [(i, p, a, b - a, zlib.crc32(ids[a:b].tobytes())) for p, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    found = two_fit_packing.pack_documents(docs).collect()
+    same([r[:5] for r in found], expected)
+    bins = defaultdict(list)
+    for r in found:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for pieces in bins.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 1024
+
+
+def test_packing_plan_uses_all_pieces_and_few_bins():
+    counts = Counter(random.Random(5).choices(range(1, 1025), k=5000))
+    bins = two_fit_packing.plan(dict(counts))
+    used = Counter()
+    for lengths, times in bins:
+        assert sum(lengths) <= 1024
+        for length in lengths:
+            used[length] += times
+    assert used == counts
+    assert sum(t for _, t in bins) <= 1.02 * sum(k * n for k, n in counts.items()) / 1024
+
+
+def test_two_smaller_pieces_replace_the_smallest():
+    # Greedy fills 6 + 3 of 10; 2 + 2 leave no gap where the 3 was.
+    assert two_fit_packing.plan({6: 1, 3: 1, 2: 2}, 10)[0] == ([6, 2, 2], 1)
+
+
+def test_leaks_with_other_numbers_and_names(spark, docs):
+    asked = "A farmer sells 12 apples to Anna and keeps 30 apples for the market near 12 old houses in town"
+    benchmark = spark.createDataFrame([(1, asked), (2, "too short"), (3, None), (4, sentence(2, 30))], "item_id long, text string")
+    changed = asked.replace("12", "7").replace("30", "55").replace("Anna", "Peter")
+    clashing = asked.replace("12 apples", "7 apples").replace("12 old", "8 old").replace("30", "7")
+    rows = [(100, "Intro words here. " + changed + " and more"), (101, clashing), (102, "apples are sold by a farmer in town near the market")]
+    found = template_leaks.leaks(docs.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string")), benchmark).collect()
+    hits = {(r.doc_id, r.item_id): r for r in found}
+    assert set(hits) == {(100, 1), (4, 4), (5, 4)}
+    assert hits[100, 1].n_changed == 3 and hits[4, 4].coverage == 1 and hits[4, 4].n_changed == 0
+
+
+def test_toxicity_learns_words(spark, docs, labels):
+    rows = [(i, sentence(i, 30) + (" vile scumbag" if i % 3 == 0 else "")) for i in range(200, 500)]
+    texts = docs.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string"))
+    marks = labels.select("doc_id", "toxic").union(spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int"))
+    found = nb_toxicity.toxicity_scores(texts, marks).collect()
+    assert len(found) == len(TEXTS) + 300 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in found)
+    out = [r for r in found if r.doc_id and r.doc_id >= 200 and r.held_out]
+    assert sum(r.predicted == int(r.doc_id % 3 == 0) for r in out) >= 0.95 * len(out)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in found if r.doc_id)
+
+
+def test_quality_learns_shapes(spark, docs, labels):
+    rows = [(i, sentence(i, 30) if i % 4 else sentence(i, 30).upper().replace(" ", "!! ")) for i in range(200, 500)]
+    texts = docs.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string"))
+    marks = spark.createDataFrame([(i, int(i % 4 > 0)) for i, _ in rows], "doc_id long, quality int")
+    found = knn_quality.quality_scores(texts, marks).collect()
+    assert len(found) == len(TEXTS) + 300 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in found)
+    out = [r for r in found if r.doc_id and r.doc_id >= 200 and r.held_out]
+    assert sum(r.predicted == int(r.doc_id % 4 > 0) for r in out) >= 0.95 * len(out)
+    assert {r.score for r in knn_quality.quality_scores(docs, marks.limit(0)).collect()} == {0.5}
+
+
+def test_licenses(docs):
+    found = {r.doc_id: r for r in license_join.licenses(docs).collect()}
+    row = found[14]
+    assert (row.n_words, row.n_base, row.first_word, row.last_word) == (13, 2, 3, 11)
+    assert row.base_labels == "apache,mit" and row.labels == "apache,apache-2.0,mit,mit-notice" and row.score == 1
+    assert (found[6].n_words, found[6].first_word, found[6].labels, found[6].score) == (0, None, "", 0)
+    expected = [(i, len(re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lowered(t)))) for i, t in TEXTS]
+    same([(r.doc_id, r.n_words) for r in license_join.licenses(docs).collect()], expected)
+
+
+def test_containment_join_equals_all_comparisons():
+    pick = random.Random(3)
+    pool = [f"w{i}" for i in range(30)]
+    templates = {f"t{i}": " ".join(pick.sample(pool, pick.randrange(3, 9))) for i in range(12)}
+    lines = [" ".join(pick.choices(pool, k=pick.randrange(1, 25))) for _ in range(300)]
+    texts = common.Texts(range(300), [line.encode() for line in lines])
+    known = license_join.index(templates, {i: pick.randrange(50) for i in range(30)})
+    found = set(zip(*(x.tolist() for x in license_join.matches(texts, known, texts.tokens(common.ALPHANUMERIC))[:2])))
+    expected = {
+        (i, t)
+        for i, line in enumerate(lines)
+        for t, text in enumerate(templates.values())
+        if 5 * len(set(line.split()) & set(text.split())) >= 4 * len(set(text.split()))
+    }
+    assert found == expected and expected
+
+
+FORMS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    doubled = [sum(divmod(2 * int(d), 10)) if k % 2 else int(d) for k, d in enumerate(digits[::-1])]
+    return sum(doubled) % 10 == 0
+
+
+def plain_spans(text):
+    out = []
+    for place, (kind, form) in enumerate(FORMS.items()):
+        for m in re.finditer(form, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {
+                "email": True,
+                "ip": kind == "ip" and all(int(p) <= 255 for p in m[0].split(".")),
+                "card": 12 <= len(digits) <= 19 and luhn(digits),
+                "phone": 9 <= len(digits) <= 15,
+            }[kind]
+            if good:
+                out.append((m.start(), place, kind, m.end()))
+    return [(kind, start, end) for start, _, kind, end in sorted(out)]
+
+
+def test_strict_spans_equal_plain_patterns():
+    pick = random.Random(11)
+    parts = ["a.b@c.de", "x@y", "@", "1.2.3.4", "300.1.1.1", "1.2.3.4.5.6.7.8", "4111111111111111", "4111-1111 1111 1111", "+1 (212) 555-0100", "+", " ", "é", "12", ".", "a@b.c@d.e", "\n"]
+    for _ in range(3000):
+        text = "".join(pick.choices(parts, k=pick.randrange(1, 9)))
+        assert bootstrap_pii.strict_spans(text) == plain_spans(text), text
+    assert bootstrap_pii.strict_spans("9" * 200_000) == [] and bootstrap_pii.strict_spans("a" * 200_000 + "@") == []
+
+
+def test_patterns_find_unseen_identifiers(spark, docs):
+    rows = [(i, f"note secret: {hashlib.md5(str(i).encode()).hexdigest()} end the v{i}00200") for i in range(200, 240)]
+    rows += [(300, "my secret: plain-pass99 here"), (301, "the build-00200 is fine")]
+    texts = docs.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = bootstrap_pii.personal_data(texts).collect()
+    assert len(found) == len(TEXTS) + 42
+    by = {r.doc_id: r for r in found}
+    assert by[300].spans == "secret:11:23" and by[301].spans == "" and by[6].spans == ""
+    assert (by[13].n_email, by[13].n_ip, by[13].n_card, by[13].n_phone) == (1, 1, 1, 1)
+    for r in found:
+        base = ",".join(f"{k}:{a}:{b}" for k, a, b in plain_spans(dict(TEXTS + rows).get(r.doc_id) or ""))
+        if r.doc_id is not None:
+            assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+
+
+def test_masked_documents_keep_rows_and_columns(docs):
+    masked = bootstrap_pii.redacted(docs)
+    assert masked.columns == docs.columns and masked.count() == len(TEXTS)
+    rows = [r for r in masked.collect() if r.doc_id == 13]
+    assert len(rows) == 2 and rows[0].text == "mail [EMAIL], ip [IP], card [CARD], call [PHONE]."
+    assert rows[0].n_chars == len(rows[0].text)
+
+
+def test_archives_round_trip_and_order(spark):
+    big, small = "<p>" + "x" * 2000, "tiny"
+    pages = [(1, "http://B.example.org/a", big), (2, "https://www.b.example.org/a", big), (3, "http://a.example.org", small), (4, None, small), (5, "bad url\n", None), (6, "", ""), (None, "http://c.org", big), (7, "http://c.org/é", "ü" * 600), (2, "https://www.b.example.org/a", big)]
+    frame = spark.createDataFrame([(*p, "clash") for p in pages], "page_id long, url string, html string, archive string")
+    found = sorted(warc_index.archived(frame).collect(), key=lambda r: (r.part, r.place))
+    expected = [
+        (i, len((h or "").encode()), hashlib.sha1((h or "").encode()).hexdigest(), *(("revisit", 2) if h == big and i != 2 else ("response", None)))
+        for i, _, h in pages
+    ]
+    same([(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in found], expected)
+    order = [(r.urlkey, r.timestamp, r.page_id if r.page_id is not None else -1) for r in found]
+    assert order == sorted(order)
+    assert warc_index.archived(frame.limit(0)).count() == 0
+
+
+def test_loser_tree_merges_like_sorting():
+    pick = random.Random(4)
+    for k in (0, 1, 2, 3, 7, 16):
+        runs = [sorted(pick.choices(range(20), k=pick.randrange(0, 9))) for _ in range(k)]
+        assert list(warc_index.LoserTree(runs)) == sorted(x for run in runs for x in run)
+
+
+def shingles(text):
+    words = spaced(text)
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def linked(texts):
+    sets = {i: shingles(t) for i, t in texts}
+    top = {i: i for i in sets}
+
+    def find(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for a, b in combinations(sorted(sets), 2):
+        shared = len(sets[a] & sets[b])
+        if sets[a] and 100 * shared >= 75 * (len(sets[a]) + len(sets[b]) - shared):
+            low, high = sorted((find(a), find(b)))
+            top[high] = low
+    return {i: (len(sets[i]), find(i)) for i in sets}
+
+
+def test_groups_equal_all_comparisons(spark, docs):
+    pick = random.Random(8)
+    rows = [(i, t) for i, t in TEXTS if i is not None and i != 11 and i != 12]
+    for family in range(12):
+        words = sentence(1000 + family, pick.choice((6, 9, 20, 70, 150))).split()
+        for member in range(8):
+            own = [w if pick.random() > 0.012 * member else f"new{pick.random()}" for w in words]
+            rows.append((1000 + 10 * family + member, " ".join(own)))
+    frame = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, component_id string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in partenum.similar_groups(frame).collect()}
+    assert found == linked(dict(rows).items())
+    every = partenum.similar_groups(docs).collect()
+    assert len(every) == len(TEXTS) and {r.component_id for r in every if r.doc_id in (11, 12)} == {11}
+
+
+def test_similar_sets_share_a_signature():
+    pick = np.random.default_rng(6)
+    counts = pick.integers(0, 1000, 4096)
+    for size in (1, 2, 3, 4, 5, 8, 13, 30, 64, 65, 100, 400):
+        for _ in range(20):
+            one = np.unique(pick.integers(0, 1 << 62, size, dtype=np.uint64))
+            shared = one[: max(1, int(np.ceil(len(one) * 6 / 7)))]
+            other = np.unique(np.concatenate((shared, pick.integers(0, 1 << 62, len(one) - len(shared), dtype=np.uint64))))
+            if partenum.similar(one, other):
+                assert set(partenum.signatures(one, counts)[0]) & set(partenum.signatures(other, counts)[0])
+
+
+def test_search_recall_and_ties(spark):
+    pick = np.random.default_rng(9)
+    vectors = pick.standard_normal((1500, 24))
+    vectors[::7] = vectors[0]
+    rows = [(i, v.tolist(), "clash") for i, v in enumerate(vectors)]
+    odd = [(5000, None, ""), (5001, [0.0] * 24, ""), (5002, [float("nan")] * 24, ""), (5003, [None] * 24, ""), (5004, [1.0, 2.0], ""), (None, [1.0] * 24, "")]
+    frame = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>, rank string")
+    found = prefix_forest.nearest(frame, F.col("vec_id") % 20 == 0).toPandas()
+    hit = 0
+    for q in range(0, 1500, 20):
+        score = vectors @ vectors[q]
+        best = sorted((-round(s, 9), i) for i, s in enumerate(score) if i != q)[:20]
+        own = found[found.query_id == q].sort_values("rank")
+        assert own["rank"].tolist() == list(range(1, 21)) and (np.abs(own.score - score[own.vec_id]) < 1e-9).all()
+        hit += len({i for _, i in best} & set(own.vec_id))
+    assert hit >= 0.9 * 20 * 75
+    assert prefix_forest.nearest(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_empty_tables(spark, docs, labels):
+    none, marks = docs.limit(0), labels.limit(0)
+    bench = spark.createDataFrame([], "item_id long, text string")
+    for frame in (
+        elias_fano_lm.model_scores(none),
+        two_fit_packing.pack_documents(none),
+        template_leaks.leaks(none, bench),
+        nb_toxicity.toxicity_scores(none, marks),
+        license_join.licenses(none),
+        bootstrap_pii.personal_data(none),
+        partenum.similar_groups(none),
+        knn_quality.quality_scores(none, marks),
+    ):
+        assert frame.count() == 0
