@@ -58,7 +58,7 @@ BUCKET_ROWS = 1 << 20
 COMMON_SHARE = 1 / 500
 #: Members of a family that are compared at a time, and the most bits of a parity sketch.
 FAMILY = 2048
-MOST_BITS = 1 << 15
+MOST_BITS = 1 << 17
 #: Rows of families that a task compares, about.
 BUNDLE = 20_000
 #: Parts over those needed, so that rare signatures can be picked.
@@ -256,8 +256,8 @@ def _shared(sent: DataFrame) -> DataFrame:
 
 
 def parity(shingles: np.ndarray) -> bytes:
-    """The parity sketch of a set: as many bits as the next power of two, 64 to ``MOST_BITS``."""
-    bits = min(MOST_BITS, max(64, 1 << (len(shingles) - 1).bit_length()))
+    """The parity sketch of a set: four times as many bits as the next power of two, 64 to ``MOST_BITS``."""
+    bits = min(MOST_BITS, max(64, 4 << (len(shingles) - 1).bit_length()))
     at = np.bincount((mix(shingles ^ _KEYS[30]) % np.uint64(bits)).astype(np.int64), minlength=bits)
     return np.packbits((at % 2).astype(np.uint8)).tobytes()
 
@@ -338,18 +338,20 @@ def _compared(node: np.ndarray, component: np.ndarray, own: np.ndarray, size: np
 
 
 def _closest(pairs: np.ndarray, most: int) -> np.ndarray:
-    """Of the pairs of every two components, up to ``most`` with the closest sketches."""
-    order = np.lexsort((pairs[:, 1], pairs[:, 0], pairs[:, 4], pairs[:, 3], pairs[:, 2]))
-    pairs = pairs[order]
-    new = np.concatenate(([True], (pairs[1:, 2:4] != pairs[:-1, 2:4]).any(axis=1)))
-    first = np.flatnonzero(new)
-    return pairs[np.arange(len(pairs)) - np.repeat(first, np.diff(np.append(first, len(pairs)))) < most, :2]
+    """The pairs that are among the ``most`` with the closest sketches of one of their components."""
+    own = np.concatenate((pairs[:, 2], pairs[:, 3]))
+    at = np.tile(np.arange(len(pairs)), 2)
+    order = np.lexsort((pairs[at, 1], pairs[at, 0], pairs[at, 4], own))
+    own, at = own[order], at[order]
+    first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+    rank = np.arange(len(own)) - np.repeat(first, np.diff(np.append(first, len(own))))
+    return pairs[np.unique(at[rank < most]), :2]
 
 
 def _between_components(pairs: DataFrame, labels: DataFrame, sets: DataFrame, most: int | None) -> DataFrame:
     """Pairs ``a, b`` of members of one family in different components whose sketches allow a link.
 
-    With ``most``, only so many for every two components of a family, the closest; else all of them.
+    With ``most``, only so many for every component of a family, the closest; else all of them.
 
     A family is compared in blocks of up to ``FAMILY`` members, so no task holds more than two blocks.
     """
@@ -428,7 +430,7 @@ def similar_groups(documents: DataFrame, n: int = WORDS) -> DataFrame:
 
     edges = staged(_verified(_promising(pairs, sets), sets), "links")
     labels = components(edges)
-    # First the likeliest pairs of every two components, which connect most of them, then all that are left.
+    # First the likeliest pairs of every component, which connect most of them, then all that are left.
     for most in (2, None):
         more = staged(_verified(_between_components(pairs, labels, sets, most), sets), "links")
         if not more.isEmpty():
