@@ -33,7 +33,7 @@ from postsignal.llm.common import (
 FEATURES = 1 << 17
 GRAMS = (3, 4, 5)
 #: Labelled documents in the regression at most, its rounds, and the weight of its penalty.
-SAMPLE = 5000
+SAMPLE = 3000
 ROUNDS = 80
 PENALTY = 1e-3
 THRESHOLD = 0.5
