@@ -47,16 +47,12 @@ def unseen_posts(posts: DataFrame, seen: DataFrame, order: str = "ingest_seq") -
     return firsts.join(seen.select("dedupe_key"), "dedupe_key", "left_anti")
 
 
-def keys_hit(seen: DataFrame, posts: DataFrame, broadcast_keys: int = 500_000) -> DataFrame:
+def keys_hit(seen: DataFrame, posts: DataFrame) -> DataFrame:
     """The part of a large key table that a batch with ``dedupe_key`` can meet.
 
-    A batch of at most ``broadcast_keys`` rows is sent to the key table, which then is read but not
-    shuffled; a larger batch leaves the table as it is.
+    A batch that turns out small is broadcast to the key table, which then is read but not shuffled.
     """
-    keys = posts.select("dedupe_key")
-    if keys.limit(broadcast_keys + 1).count() > broadcast_keys:
-        return seen
-    return seen.join(F.broadcast(keys), "dedupe_key", "left_semi")
+    return seen.join(posts.select("dedupe_key"), "dedupe_key", "left_semi")
 
 
 def append_seen_keys(new_posts: DataFrame, table: str, buckets: int) -> None:

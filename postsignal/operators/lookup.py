@@ -1,35 +1,19 @@
-"""Joins of posts with small per-run tables whose size is checked, not assumed."""
+"""Joins of posts with per-run tables."""
 
 from __future__ import annotations
 
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
-SALTS = 64
 
+def join_runs(posts: DataFrame, runs: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Join posts with a table of runs that is unique on ``on``.
 
-def join_runs(
-    posts: DataFrame,
-    runs: DataFrame,
-    on: list[str],
-    how: str,
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Join posts with a table of runs that is unique on ``on`` (``inner``, ``left``, ``left_semi``).
-
-    A run table of at most ``broadcast_rows`` rows is broadcast. A larger one is copied ``salts``
-    times and joined on key and salt, so that the posts of one huge run spread over many tasks.
+    Nothing is counted beforehand: adaptive execution broadcasts a run table that turns out small and
+    splits the partition of a huge run.
     """
-    if runs.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return posts.join(F.broadcast(runs), on, how)
-    columns = [F.col(name) for name in posts.columns]
-    salt = F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
-    copies = runs.withColumn("_salt", F.explode(F.array(*map(F.lit, range(salts)))))
-    return posts.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
+    return posts.join(runs, on, how)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLOCK_WIDTH = 1_000_000
-TOP_K_ROWS = 1_000_000
 
 
 def with_required_values(posts: DataFrame, columns: tuple[str, ...] = ("tweet_id", "content")) -> DataFrame:
@@ -28,21 +27,18 @@ def spread(frame: DataFrame, key: str, tasks_per_core: int = 2) -> DataFrame:
     return frame.repartition(tasks, key)
 
 
-def first_posts(
-    posts: DataFrame, limit: int, order: str = "ingest_seq", tasks: int | None = None
-) -> DataFrame:
+def first_posts(posts: DataFrame, limit: int, order: str = "ingest_seq") -> DataFrame:
     """First ``limit`` rows in ingest order.
 
-    A top-k sends ``limit`` rows of every task to one. It is used if the caller knows the number of
-    tasks and that product is small. Otherwise the cut-off value is found from the order column
-    alone and becomes a filter on the scan, so posts never gather anywhere. ``order`` must be unique:
-    an integer, or a struct such as (file, block, line).
+    The cut-off value is found from the order column alone and becomes a filter on the scan, so posts
+    never gather anywhere. ``order`` must be unique: an integer, or a struct such as (file, block, line).
+    Rows without an order value have no place and do not count among the first.
     """
     if limit < 0:
         raise ValueError("limit must not be negative")
-    if limit == 0 or (tasks is not None and limit * tasks <= TOP_K_ROWS):
-        return posts.orderBy(order).limit(limit)
-    places = posts.select(order)
+    if limit == 0:
+        return posts.limit(0)
+    places = posts.where(F.col(order).isNotNull()).select(order)
     last = places.agg(F.max(order).alias(order))
     cut = rank_places(places, limit, order).unionByName(last).agg(F.min(order)).scalar()
     return posts.where(F.col(order) <= cut)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import inf
 
 from pyspark.sql import types as T
 
@@ -98,19 +99,26 @@ class ParameterError(ValueError):
     """An operator parameter is outside its valid range."""
 
 
+# The ranges of the thresholds.
+_RANGES = {
+    "max_empty_run": (1, inf),
+    "max_duplicate_ratio": (0, 1),
+    "min_records_per_minute": (0, inf),
+    "rolling_batches": (1, inf),
+}
+
+
 @dataclass(frozen=True)
 class SourceThresholds:
     """When a source counts as degraded."""
 
+    # The defaults.
     max_empty_run: int = 3
     max_duplicate_ratio: float = 0.85
     min_records_per_minute: float = 0.25
     rolling_batches: int = 5
 
     def __post_init__(self) -> None:
-        if self.max_empty_run < 1:
-            raise ParameterError("max_empty_run must be at least 1")
-        if not 0 <= self.max_duplicate_ratio <= 1:
-            raise ParameterError("max_duplicate_ratio must lie in [0, 1]")
-        if self.rolling_batches < 1:
-            raise ParameterError("rolling_batches must be at least 1")
+        for name, (low, high) in _RANGES.items():
+            if not low <= getattr(self, name) <= high:
+                raise ParameterError(f"{name} = {getattr(self, name)} is outside {low} to {high}")

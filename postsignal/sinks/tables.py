@@ -24,10 +24,14 @@ def shared_folder(spark: SparkSession, default: str) -> str:
 def new_folder(spark: SparkSession, name: str, default: str | None = None) -> str:
     """A fresh folder for intermediate data that every executor reaches.
 
-    ``default`` is used when the session names no checkpoint folder; a local run without either gets
-    a temporary one.
+    ``default`` is used when the session names no checkpoint folder. Without either, a local session gets
+    a temporary one and a cluster an error.
     """
-    root = shared_folder(spark, default or "") or tempfile.mkdtemp(prefix="postsignal-")
+    root = shared_folder(spark, default or "")
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="postsignal-")
     return f"{root}/{name}_{uuid.uuid4().hex}"
 
 

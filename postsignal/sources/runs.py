@@ -87,14 +87,17 @@ def with_envelope(
 
 
 def with_run_envelopes(posts: DataFrame, runs: DataFrame) -> DataFrame:
-    """Attach the envelope of each post's own run, found by ``source_name`` and ``run_id``."""
+    """Attach the envelope of each post's own run, found by ``source_name`` and ``run_id``.
+
+    A post whose run has no row, or whose key is null, stays with a null envelope.
+    """
     envelopes = runs.select(
         *RUN_KEYS,
         F.col("status").alias("collector_status"),
         F.col("started_at").alias("collected_started_at"),
         F.col("ended_at").alias("collected_ended_at"),
     )
-    return join_runs(posts, envelopes, RUN_KEYS, "inner")
+    return join_runs(posts, envelopes, RUN_KEYS, "left")
 
 
 def select_source(primary: DataFrame, fallback: DataFrame, runs: DataFrame) -> DataFrame:
@@ -102,11 +105,10 @@ def select_source(primary: DataFrame, fallback: DataFrame, runs: DataFrame) -> D
 
     ``runs`` holds the primary runs. SUCCESS and PARTIAL keep their posts. Any other status drops
     them, even if there are some, and takes the fallback posts of the same run whatever their own
-    status. Both inputs carry ``source_name`` and ``run_id`` of the primary run they belong to.
+    status. Primary posts of a run without a row, or with a null key or status, are kept: nothing says
+    that they should be replaced. Both inputs carry ``source_name`` and ``run_id`` of the primary run.
     """
-    degraded = triggers_fallback(F.col("status"))
-    usable = runs.where(~degraded).select(*RUN_KEYS)
-    replaced = runs.where(degraded).select(*RUN_KEYS)
-    return join_runs(primary, usable, RUN_KEYS, "left_semi").unionByName(
+    replaced = runs.where(triggers_fallback(F.col("status"))).select(*RUN_KEYS)
+    return join_runs(primary, replaced, RUN_KEYS, "left_anti").unionByName(
         join_runs(fallback, replaced, RUN_KEYS, "left_semi")
     )

@@ -1,7 +1,5 @@
 import math
 import random
-import re
-from collections import Counter
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -15,12 +13,12 @@ from postsignal.schema import CLEAN_SCHEMA, FEATURE_FIELDS, ParameterError, Sour
 NOW = datetime(2026, 7, 1, 12, tzinfo=timezone.utc)
 
 
-def post(tweet_id, content, minutes_ago=0, likes="1"):
+def post(tweet_id, content, minutes_ago=0, likes="3"):
     return {
-        "tweet_id": tweet_id, "username": "Trader", "display_name": "Trader", "content": content,
-        "timestamp": (NOW - timedelta(minutes=minutes_ago)).isoformat(), "hashtags": ["NIFTY"],
-        "mentions": ["MARKET"], "reply_count": "1", "retweet_count": "2", "like_count": likes,
-        "view_count": "100", "follower_count": "1000", "following_count": "100",
+        "tweet_id": tweet_id, "username": "Desk_One", "display_name": "Desk One", "content": content,
+        "timestamp": (NOW - timedelta(minutes=minutes_ago)).isoformat(), "hashtags": ["Oil"],
+        "mentions": ["OPS"], "reply_count": "2", "retweet_count": "4", "like_count": likes,
+        "view_count": "50", "follower_count": "730", "following_count": "12",
     }
 
 
@@ -28,46 +26,47 @@ def corpus(spark, texts):
     return spark.createDataFrame(list(enumerate(texts)), "ingest_seq bigint, content_clean string")
 
 
-def expected_scores(texts, k):
-    split = [re.findall(r"[a-zA-Z][a-zA-Z0-9_]+", (t or "").lower()) for t in texts]
-    whole, documents = Counter(), Counter()
-    for words in split:
-        whole.update(words)
-        documents.update(set(words))
-    terms = [term for term, _ in whole.most_common(k)]
-    scores = {}
-    for place, words in enumerate(split):
-        for term in terms:
-            idf = math.log((1 + len(texts)) / (1 + documents[term])) + 1.0
-            scores[place, term] = words.count(term) / len(words) * idf if words else 0.0
-    return terms, scores
-
+# Worked out by hand: 4 posts, corpus counts gold 4, oil 3, tin 2, zinc 1.
+HAND_TEXTS = ["gold gold oil", "oil tin", "gold oil tin zinc", "gold 1 q"]
+HAND_POSTS_WITH = {"gold": 3, "oil": 3, "tin": 2, "zinc": 1}
+HAND_SHARES = {
+    (0, "gold"): 2 / 3, (0, "oil"): 1 / 3, (1, "oil"): 1 / 2, (1, "tin"): 1 / 2,
+    (2, "gold"): 1 / 4, (2, "oil"): 1 / 4, (2, "tin"): 1 / 4, (2, "zinc"): 1 / 4, (3, "gold"): 1.0,
+}
 
-def random_texts():
-    random.seed(3)
-    words = [f"w{i}" for i in range(40)] + ["a", "7up", "x_1", "caf\u00e9s"]
-    texts = [" ".join(random.choices(words, k=random.randint(0, 30))) for _ in range(120)]
-    return texts + ["", None, "1 2 3", "tie_b tie_a", "tie_c tie_a tie_b"]
 
-
-@pytest.mark.parametrize("k", [0, 1, 7, 60])
-def test_tfidf_matches_brute_force(spark, k):
-    texts = random_texts()
-    terms, scores = expected_scores(texts, k)
-    posts = corpus(spark, texts)
+@pytest.mark.parametrize("k", [0, 1, 3, 60])
+def test_tfidf_of_a_hand_made_corpus(spark, k):
+    posts = corpus(spark, HAND_TEXTS)
     fitted = tfidf.fit_terms(posts.repartition(5), k)
+    terms = ["gold", "oil", "tin", "zinc"][:k]
     assert [t.term for t in fitted] == terms
     wide = tfidf.tfidf_wide(posts, fitted)
     assert wide.columns == posts.columns + [f"tfidf_{t}" for t in terms]
     for row in wide.collect():
         for term in terms:
-            assert row[f"tfidf_{term}"] == pytest.approx(scores[row.ingest_seq, term], abs=1e-12)
-    if k == 0:
-        return
-    long = {(r.ingest_seq, r.term): r.tfidf for r in tfidf.tfidf_long(posts, fitted).collect()}
-    assert long.keys() == {key for key, score in scores.items() if score > 0}
-    for key, score in long.items():
-        assert score == pytest.approx(scores[key], abs=1e-12)
+            wanted = HAND_SHARES.get((row.ingest_seq, term), 0) * (1 + math.log(5 / (1 + HAND_POSTS_WITH[term])))
+            assert row[f"tfidf_{term}"] == pytest.approx(wanted, abs=1e-12)
+    if k:
+        long = {(r.ingest_seq, r.term) for r in tfidf.tfidf_long(posts, fitted).collect()}
+        assert long == {key for key in HAND_SHARES if key[1] in terms}
+
+
+def test_tfidf_properties_of_random_posts(spark):
+    random.seed(3)
+    words = [f"w{i}" for i in range(40)] + ["a", "7up", "x_1", "caf\u00e9s"]
+    texts = [" ".join(random.choices(words, k=random.randint(0, 30))) for _ in range(120)] + ["", None, "1 2 3"]
+    posts = corpus(spark, texts)
+    fitted = tfidf.fit_terms(posts.repartition(5), 1000)
+    assert [t.corpus_count for t in fitted] == sorted((t.corpus_count for t in fitted), reverse=True)
+    by_rarity = sorted(fitted, key=lambda t: t.document_count)
+    assert [t.idf for t in by_rarity] == sorted((t.idf for t in fitted), reverse=True)
+    idf = {t.term: t.idf for t in fitted}
+    shares = {}
+    for r in tfidf.tfidf_long(posts, fitted).collect():
+        shares[r.ingest_seq] = shares.get(r.ingest_seq, 0) + r.tfidf / idf[r.term]
+    # With every term in the vocabulary the shares of a post add up to one.
+    assert all(total == pytest.approx(1) for total in shares.values()) and 110 <= len(shares) <= 120
 
 
 def test_ties_go_to_the_first_occurrence(spark):
@@ -101,14 +100,12 @@ def test_scoring_does_not_shuffle_posts(spark):
 
 
 def test_clean_row(spark, make_posts):
-    cleaned = clean_posts(make_posts(post("1", "NIFTY \U0001f680 @A #NIFTY")))
+    raw = "Oil\u2003\u2603 @B #Tin"
+    cleaned = clean_posts(make_posts(post("1", raw)))
     assert [(f.name, f.dataType) for f in cleaned.schema] == [(f.name, f.dataType) for f in CLEAN_SCHEMA]
     row = cleaned.first()
-    assert row.content_clean == "nifty @a #nifty"
-    assert (row.username, row.display_name, row.hashtags_norm, row.mentions_norm) == (
-        "trader", "Trader", ["nifty"], ["market"],
-    )
-    assert row.content == "NIFTY \U0001f680 @A #NIFTY" and row.follower_count == 1000
+    assert (row.content, row.content_clean, row.follower_count) == (raw, "oil @b #tin", 730)
+    assert (row.username, row.display_name, row.hashtags_norm, row.mentions_norm) == ("desk_one", "Desk One", ["oil"], ["ops"])
 
 
 def test_empty_frames_keep_the_schema(make_posts):
@@ -119,17 +116,12 @@ def test_empty_frames_keep_the_schema(make_posts):
 
 
 def test_features_keep_direction(make_posts):
-    posts = make_posts(
-        post("bull", "nifty breakout bullish gapup", 1, "10"),
-        post("bear", "nifty breakdown bearish gapdown dump", 1, "10"),
-        post("twice", "rally rally RALLY", 1),
-    )
+    posts = make_posts(post("up", "oil rally", 1), post("down", "oil crash", 1), post("flat", "oil rally crash", 1), post("twice", "rally Rally RALLY", 1))
     cleaned = clean_posts(posts, carry=("ingest_seq",))
     rows = {r.tweet_id: r for r in add_features(cleaned, tfidf.fit_terms(cleaned), NOW).collect()}
-    assert rows["bull"].composite_signal > 0 > rows["bear"].composite_signal
-    assert (rows["bull"].lexical_sentiment, rows["bear"].lexical_sentiment) == (3.0, -4.0)
-    assert rows["twice"].lexical_sentiment == 1.0
-    assert rows["bull"].tfidf_nifty > 0
+    assert rows["up"].composite_signal > 0 == rows["flat"].composite_signal > rows["down"].composite_signal
+    assert [rows[k].lexical_sentiment for k in ("up", "down", "flat", "twice")] == [1.0, -1.0, 0.0, 1.0]
+    assert rows["up"].tfidf_oil > 0 == rows["twice"].tfidf_oil
 
 
 def test_signal_values(make_posts):
@@ -138,7 +130,7 @@ def test_signal_values(make_posts):
         {**post("none", "buy"), "timestamp": None},
     )
     rows = {r.tweet_id: r for r in add_signals(clean_posts(posts), NOW).collect()}
-    engagement = 1 + 2 * 2 + 1 + 0.25 * math.log(101)
+    engagement = 3 + 2 * 4 + 2 + 0.25 * math.log(51)
     assert rows["now"].engagement_score == pytest.approx(engagement)
     decays = {name: row.recency_decay for name, row in rows.items()}
     assert decays == {"now": 1.0, "old": pytest.approx(0.5), "future": 1.0, "none": 0.0}

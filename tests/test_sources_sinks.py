@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from postsignal import schema as S
-from postsignal.operators.lookup import join_runs
 from postsignal.sinks import tables as sinks
 from postsignal.sources import articles, jsonl, runs
 
@@ -68,15 +67,13 @@ def test_missing_file_and_empty_file_are_failed_runs(spark, tmp_path):
     assert both.where(F.col("status") == S.FAILED).count() == 2
 
 
-def test_limit_takes_the_first_lines(spark, tmp_path, monkeypatch):
+def test_limit_takes_the_first_lines(spark, tmp_path):
     path = write_lines(tmp_path / "in.jsonl", *(record(str(i)) for i in range(3000)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
     try:
-        for top_k_rows in (1_000_000, 0):
-            monkeypatch.setattr("postsignal.operators.rows.TOP_K_ROWS", top_k_rows)
-            read = jsonl.read_posts(spark, path, limit=700)
-            assert read.run["n_records"] == 700
-            assert sorted(int(r.tweet_id) for r in read.posts.collect()) == list(range(700))
+        read = jsonl.read_posts(spark, path, limit=700)
+        assert read.run["n_records"] == 700
+        assert sorted(int(r.tweet_id) for r in read.posts.collect()) == list(range(700))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     none = jsonl.read_posts(spark, path, limit=0)
@@ -126,14 +123,16 @@ def test_fallback_replaces_degraded_runs_only(spark, classified):
     assert {r.run_id: r.collector_status for r in enveloped.collect()} == {case[0]: case[7] for case in CASES}
 
 
-@pytest.mark.parametrize("how, wanted", [("inner", 90), ("left", 100), ("left_semi", 90)])
-def test_join_runs_is_the_same_with_salts(spark, how, wanted):
-    posts = spark.range(100).select("id", F.when(F.col("id") < 80, "hot").otherwise(F.when(F.col("id") < 90, "b")).alias("k"))
-    table = spark.createDataFrame([("hot", 1), ("b", 2), ("c", 3)], "k string, v int")
-    results = [join_runs(posts, table, ["k"], how, broadcast_rows=bound, salts=8) for bound in (1000, 0)]
-    collected = [sorted(map(tuple, r.collect()), key=repr) for r in results]
-    assert collected[0] == collected[1] and len(collected[0]) == wanted
-    assert "BroadcastHashJoin" in results[0]._jdf.queryExecution().executedPlan().toString()
+def test_posts_without_a_run_row_stay(spark):
+    classified = spark.createDataFrame(
+        [("s", "r1", "SUCCESS"), ("s", "r2", "FAILED"), ("s", "r3", None)], "source_name string, run_id string, status string"
+    ).selectExpr("*", "timestamp '2031-01-01' AS started_at", "timestamp '2031-01-02' AS ended_at")
+    keys = [("s", "r1"), ("s", "r2"), ("s", "r3"), ("s", "gone"), (None, "r1"), ("s", None)]
+    primary = spark.createDataFrame([(*k, i) for i, k in enumerate(keys)], "source_name string, run_id string, post int")
+    fallback = primary.withColumn("post", F.col("post") + 10)
+    enveloped = {r.post: r.collector_status for r in runs.with_run_envelopes(primary, classified).collect()}
+    assert enveloped == {0: "SUCCESS", 1: "FAILED", 2: None, 3: None, 4: None, 5: None}
+    assert sorted(r.post for r in runs.select_source(primary, fallback, classified).collect()) == [0, 2, 3, 4, 5, 11]
 
 
 def test_choose_source(spark, tmp_path):
