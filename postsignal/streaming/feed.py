@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,19 +35,25 @@ def clean_stream(lines: DataFrame) -> DataFrame:
     return clean_posts(post_columns(parse_lines(lines)))
 
 
-def with_event_time(posts: DataFrame) -> DataFrame:
-    """Event time for watermarks: the post's timestamp, or its arrival when it has none."""
-    return posts.withColumn("event_time", F.coalesce("timestamp", F.current_timestamp()))
+def with_arrival_time(posts: DataFrame) -> DataFrame:
+    """``arrived_at``, the start of the micro-batch that brings the post.
+
+    As event time it makes no post late, and undated posts or dates in the future cannot move its watermark.
+    """
+    return posts.withColumn("arrived_at", F.current_timestamp())
 
 
 def dedupe_stream(
-    posts: DataFrame, delay: str = DEFAULT_DELAY, event_time: str = "timestamp", salts: int = 0
+    posts: DataFrame, delay: str = DEFAULT_DELAY, event_time: str = "timestamp", salts: int = 8
 ) -> DataFrame:
     """Drop repeats of a cleaned post that arrive within ``delay`` of event time.
 
     State is bounded: a key is forgotten ``delay`` after its post, so later repeats pass. With
     ``salts`` a first stage drops repeats per key and group of input tasks, and at most ``salts``
     rows of one key reach the task that holds the key.
+
+    With ``timestamp`` as event time, posts later than the watermark are dropped and undated ones always
+    pass; use ``with_arrival_time`` and ``arrived_at`` where every post must come out once.
     """
     keyed = with_cleaned_key(posts).withWatermark(event_time, delay)
     if salts:
@@ -91,6 +98,12 @@ def _foreach_batch(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def _feed_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the query of a checkpoint folder; a new checkpoint has another one."""
+    document = spark.read.text(f"{checkpoint}/metadata").first()["value"]
+    return json.loads(document)["id"]
+
+
 def write_good_and_rejected(
     lines: DataFrame,
     posts_path: str,
@@ -100,14 +113,19 @@ def write_good_and_rejected(
 ) -> StreamingQuery:
     """Cleaned posts to one table and unusable lines, with the reason, to another.
 
-    Each micro-batch owns a ``batch_id`` partition that a retry overwrites.
+    Each micro-batch owns a partition by ``feed_id`` and ``batch_id`` that a retry overwrites; the feed is the
+    checkpoint's, so a stream with a new checkpoint leaves earlier rows alone.
     """
+    spark = lines.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        own = f"feed_id={_feed_id(spark, checkpoint)}/batch_id={batch_id}"
         parsed = parse_lines(batch, check_counts=True).persist()
-        write_table(clean_posts(post_columns(parsed)), f"{posts_path}/batch_id={batch_id}")
-        write_table(reject_columns(parsed), f"{rejects_path}/batch_id={batch_id}")
-        parsed.unpersist()
+        try:
+            write_table(clean_posts(post_columns(parsed)), f"{posts_path}/{own}")
+            write_table(reject_columns(parsed), f"{rejects_path}/{own}")
+        finally:
+            parsed.unpersist()
 
     return _foreach_batch(lines, handle, checkpoint, available_now)
 
@@ -122,33 +140,41 @@ def ingest_with_health(
     """Exact dedupe against everything seen, and one health row per source run and micro-batch.
 
     ``posts`` are raw posts with ``source_name``, ``run_id`` and ``order``. Writes ``posts``, ``keys`` and
-    ``ingest_batches`` under ``tables``, each partitioned by ``batch_id``. A retried batch reads only
-    the keys of earlier batches and overwrites its own partitions, so it gives the same rows again.
+    ``ingest_batches`` under ``tables``, each partitioned by ``feed_id`` and ``batch_id``; the feed is the
+    checkpoint's. A batch reads the keys of all other feeds and of its own earlier batches, so a stream with
+    a new checkpoint goes on where the tables end, and a retried batch overwrites its own partitions alone.
+    ``batch_seq`` counts within a feed. Two feeds that run at once may both bring a key as new.
     """
     spark = posts.sparkSession
+    by = ("feed_id", "batch_id")
+    keys = "dedupe_key string, feed_id string, batch_id bigint"
+    # Makes the folder of the key table where there is none.
+    spark.createDataFrame([], keys).write.mode("append").partitionBy(*by).parquet(f"{tables}/keys")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        feed = _feed_id(spark, checkpoint)
+        own = f"feed_id={feed}/batch_id={batch_id}"
         keyed = with_record_key(batch).persist()
-        seen = spark.createDataFrame([], "dedupe_key string")
-        if batch_id > 0:
-            known = spark.read.parquet(f"{tables}/keys").where(F.col("batch_id") < batch_id)
-            seen = keys_hit(known.select("dedupe_key"), keyed)
-        fresh = unseen_posts(keyed, seen, order)
-        write_table(fresh, f"{tables}/posts/batch_id={batch_id}")
-        written = spark.read.schema(fresh.schema).parquet(f"{tables}/posts/batch_id={batch_id}")
-        write_table(written.select("dedupe_key"), f"{tables}/keys/batch_id={batch_id}")
-        run = ["source_name", "run_id"]
-        total = keyed.groupBy(*run).agg(F.count(F.lit(1)).alias("_seen"))
-        new = written.groupBy(*run).agg(F.count(F.lit(1)).alias("_new"))
-        new_records = F.coalesce(F.col("_new"), F.lit(0).cast("bigint"))
-        row = total.join(new, run, "left").select(
-            *run,
-            F.lit(batch_id).cast("bigint").alias("batch_seq"),
-            F.current_timestamp().alias("batch_at"),
-            new_records.alias("new_records"),
-            (F.col("_seen") - new_records).alias("duplicates"),
-        )
-        write_table(row, f"{tables}/ingest_batches/batch_id={batch_id}")
-        keyed.unpersist()
+        try:
+            known = spark.read.schema(keys).parquet(f"{tables}/keys")
+            known = known.where((F.col("feed_id") != feed) | (F.col("batch_id") < batch_id))
+            fresh = unseen_posts(keyed, keys_hit(known.select("dedupe_key"), keyed), order)
+            write_table(fresh, f"{tables}/posts/{own}")
+            written = spark.read.schema(fresh.schema).parquet(f"{tables}/posts/{own}")
+            write_table(written.select("dedupe_key"), f"{tables}/keys/{own}")
+            run = ["source_name", "run_id"]
+            total = keyed.groupBy(*run).agg(F.count(F.lit(1)).alias("_seen"))
+            new = written.groupBy(*run).agg(F.count(F.lit(1)).alias("_new"))
+            new_records = F.coalesce(F.col("_new"), F.lit(0).cast("bigint"))
+            row = total.join(new, run, "left").select(
+                *run,
+                F.lit(batch_id).cast("bigint").alias("batch_seq"),
+                F.current_timestamp().alias("batch_at"),
+                new_records.alias("new_records"),
+                (F.col("_seen") - new_records).alias("duplicates"),
+            )
+            write_table(row, f"{tables}/ingest_batches/{own}")
+        finally:
+            keyed.unpersist()
 
     return _foreach_batch(posts, handle, checkpoint, available_now)

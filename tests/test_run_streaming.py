@@ -134,10 +134,25 @@ def test_stream_rejects_and_scoring(spark, tmp_path):
     assert scored["1"].tfidf_nifty > 0 == scored["2"].tfidf_nifty
 
 
-def test_event_time_falls_back_to_arrival(spark):
-    posts = spark.createDataFrame([(START,), (None,)], "timestamp timestamp")
-    rows = feed.with_event_time(posts).collect()
-    assert rows[0].event_time == rows[0].timestamp and rows[1].event_time is not None
+def test_arrival_dedupe_brings_every_post_once(spark, tmp_path):
+    undated, future = dict(timestamp=None), dict(timestamp="2999-01-01T00:00:00+00:00")
+    write(tmp_path / "in", "a.jsonl", [record(1), record(2, **undated)])
+    write(tmp_path / "in", "b.jsonl", [record(2, **undated), record(3, **future), record(1)])
+    write(tmp_path / "in", "c.jsonl", [record(4, minutes=-60 * 24 * 400), record(2, **undated), record(3, **future)])
+    posts = feed.with_arrival_time(feed.clean_stream(feed.read_lines(spark, str(tmp_path / "in"), max_files=1)))
+    deduped = feed.dedupe_stream(posts, "1 hour", "arrived_at")
+    finish(feed.write_stream(deduped, str(tmp_path / "out"), str(tmp_path / "check")))
+    assert sorted(r.tweet_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["1", "2", "3", "4"]
+
+
+def test_new_checkpoint_keeps_rejects_and_posts(spark, tmp_path):
+    for name in ("first", "second"):
+        folder = write(tmp_path / name, "a.jsonl", [record(1, content=name), "{"])
+        lines = feed.read_lines(spark, folder)
+        out = (str(tmp_path / "posts"), str(tmp_path / "rejects"), str(tmp_path / f"check_{name}"))
+        finish(feed.write_good_and_rejected(lines, *out))
+    assert sorted(r.content for r in spark.read.parquet(str(tmp_path / "posts")).collect()) == ["first", "second"]
+    assert spark.read.parquet(str(tmp_path / "rejects")).count() == 2
 
 
 def test_ingest_with_health_is_exact_and_repeatable(spark, tmp_path):
@@ -159,12 +174,21 @@ def test_ingest_with_health_is_exact_and_repeatable(spark, tmp_path):
         run("check")
     posts = spark.read.parquet(f"{tables}/posts")
     assert sorted(r.ingest_seq for r in posts.collect()) == [0, 2, 4]
-    health = spark.read.parquet(f"{tables}/ingest_batches").drop("batch_id")
+    health = spark.read.parquet(f"{tables}/ingest_batches").drop("feed_id", "batch_id")
     counts = {(r.source_name, r.batch_seq): (r.new_records, r.duplicates) for r in health.collect()}
     assert counts == {("s", 0): (2, 1), ("s", 1): (1, 1), ("t", 1): (0, 1), ("s", 2): (0, 2)}
     last = {r.source_name: r for r in run_metrics(source_health(health)).collect()}
     assert (last["s"].total_collected, last["s"].total_duplicates, last["s"].empty_run) == (3, 4, 1)
 
+    # A second feed with a checkpoint of its own goes on from the tables.
+    other = tmp_path / "other"
+    spark.createDataFrame([(8, "1", "u", "a", "s", "q"), (9, "9", "u", "d", "s", "q")], schema).coalesce(1).write.json(str(other))
+    stream = spark.readStream.schema(schema).json(str(other))
+    finish(feed.ingest_with_health(stream, tables, str(tmp_path / "other_check")))
+    assert sorted(r.ingest_seq for r in spark.read.parquet(f"{tables}/posts").collect()) == [0, 2, 4, 9]
+    row = spark.read.parquet(f"{tables}/ingest_batches").where("run_id = 'q'").first()
+    assert (row.batch_seq, row.new_records, row.duplicates) == (0, 1, 1)
+
 
 def test_calendar_buckets_do_not_stream(spark):
     stream = spark.readStream.format("rate").load().select(F.col("timestamp"))
