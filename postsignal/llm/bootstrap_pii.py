@@ -1,7 +1,8 @@
 """PII by bootstrapped contextual extraction.
 
 Seeds are matches of strict forms: e-mail, IP address, card, phone number, and secrets such as keys. Each
-candidate token (an identifier-like token with a digit) has a lexical pattern: what stands before it. Spark
+candidate (an identifier-like string with a digit, alone or in a token such as a query string or a JSON line)
+has a lexical pattern: its key, or what stands before it. Spark
 scores the graph of patterns and instances in rounds: a pattern is as sure of a kind as the share of its
 instances that belong to it, and an instance as sure as its best pattern. Patterns with enough support and
 certainty then mark identifiers that no strict form knows.
@@ -29,10 +30,10 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_SECRET = re.compile(r"AKIA[0-9A-Z]{16}|(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{16,}")
-_CANDIDATE = re.compile(r"\S*[0-9]\S*")
-_INSTANCE = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+@/-]{4,62}[A-Za-z0-9]")
-_KEYED = re.compile(r"[^\s=:]+[=:]")
+_SECRET = re.compile(r"(?<![0-9A-Za-z])(?:AKIA[0-9A-Z]{16}|(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{16,}+)(?![0-9A-Za-z])")
+_CANDIDATE = re.compile(r"(?<!\S)[^\s0-9]*+[0-9]\S*+")
+_PART = re.compile(r"[^\s=:,;&?|\"'`(){}<>\[\]]+")
+_INSTANCE = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+@/-]{4,}[A-Za-z0-9]")
 _BEFORE = re.compile(r"(\S+)[ \t]+(\S+)[ \t]+$|(\S+)[ \t]+$")
 
 SPAN = "struct<kind: string, start: int, end: int>"
@@ -91,30 +92,54 @@ def pattern_before(text: str, start: int, low: int) -> str:
     return re.sub("[0-9]", "0", last.lower())
 
 
+def secrets(text: str) -> list[tuple[str, int, int]]:
+    """``kind, start, end`` of the keys known by their form, wherever they stand."""
+    return [("secret", *match.span()) for match in _SECRET.finditer(text)]
+
+
+def _parts(text: str, low: int, high: int):
+    """``pattern, start, end`` of the identifier-like strings of a token: its key, or else what stands before it.
+
+    The parts of a token lie between marks such as quotes, commas, ``=`` and ``:``.
+    """
+    last, done = "", low
+    for part in _PART.finditer(text, low, high):
+        for own in _INSTANCE.finditer(text, *part.span()):
+            mark = re.search("[=:]", text[done : part.start()]) if last else None
+            if own.start() > part.start() and (inner := text[max(part.start(), own.start() - 80) : own.start()]).strip("._%+@/-"):
+                yield re.sub("[0-9]", "0", inner.lower()), *own.span()
+            elif mark:
+                yield last.lower() + mark[0], *own.span()
+            elif last:
+                yield re.sub("[0-9]", "0", last.lower()) + text[done : part.start()].strip("\"'`")[:1], *own.span()
+            else:
+                yield pattern_before(text, low, max(0, low - 80)), *own.span()
+        last, done = part[0][-80:], part.end()
+
+
 def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, str | None, int, int]]:
-    """``pattern, instance, kind, start, end`` of identifier-like tokens; kind is null where no strict form matches."""
+    """``pattern, instance, kind, start, end`` of identifier-like strings; kind is null where no strict form matches."""
     out = []
     at = 0
     for match in _CANDIDATE.finditer(text):
-        keyed = _KEYED.match(match[0])
-        low = match.start() + (keyed.end() if keyed else 0)
-        own = _INSTANCE.search(text, low, match.end())
-        if not own or not any("0" <= c <= "9" for c in own[0]):
-            continue
-        start, end = own.span()
-        while at < len(spans) and spans[at][2] <= start:
-            at += 1
-        kind = spans[at][0] if at < len(spans) and spans[at][1] < end else None
-        if kind is None and _SECRET.fullmatch(own[0]):
-            kind = "secret"
-        pattern = keyed[0].lower() if keyed else pattern_before(text, match.start(), max(0, match.start() - 80))
-        if pattern:
-            out.append((pattern, own[0], kind, start, end))
-        elif kind == "secret":
-            out.append(("", own[0], kind, start, end))
+        for pattern, start, end in _parts(text, *match.span()):
+            own = text[start:end]
+            if not pattern or not re.search("[0-9]", own):
+                continue
+            while at < len(spans) and spans[at][2] <= start:
+                at += 1
+            kind = spans[at][0] if at < len(spans) and spans[at][1] < end else None
+            out.append((pattern, own, kind, start, end))
     return out
 
 
+def _found(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, str | None, int, int]]:
+    """The candidates, and every secret under an empty pattern."""
+    forms = secrets(text)
+    known = sorted(spans + forms, key=lambda s: (s[1], KINDS.index(s[0])))
+    return candidates(text, known) + [("", text[a:b], kind, a, b) for kind, a, b in forms]
+
+
 def _scanned(documents: DataFrame) -> DataFrame:
     """One pass over ``doc_id, text, key``: base spans and candidates of every row, with its key."""
 
@@ -125,7 +150,7 @@ def _scanned(documents: DataFrame) -> DataFrame:
                 text = value.as_py() or ""
                 own = strict_spans(text)
                 spans.append([{"kind": k, "start": a, "end": b} for k, a, b in own])
-                found.append([{"pattern": p, "instance": i, "kind": k, "start": a, "end": b} for p, i, k, a, b in candidates(text, own)])
+                found.append([{"pattern": p, "instance": i, "kind": k, "start": a, "end": b} for p, i, k, a, b in _found(text, own)])
             kind_of_span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
             kind_of_found = pa.struct([("pattern", pa.string()), ("instance", pa.string()), ("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
             base = [",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in own) for own in spans]
@@ -165,7 +190,7 @@ def _added(scan: DataFrame) -> DataFrame:
     """Per row key, the spans that are no base spans: secrets by form, and candidates of sure patterns."""
     found = scan.select("row", F.explode("found").alias("f")).select("row", "f.*")
     patterns = sure_patterns(found.select("pattern", "instance", "kind"))
-    secret = found.filter("kind = 'secret'").select("row", "kind", "start", "end")
+    secret = found.filter("kind = 'secret' AND pattern = ''").select("row", "kind", "start", "end")
     unseen = found.filter("kind IS NULL").drop("kind").join(patterns, "pattern").select("row", "kind", "start", "end")
     return secret.union(unseen).distinct().groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
 
