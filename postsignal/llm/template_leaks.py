@@ -8,6 +8,8 @@ values stay different.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,10 +29,14 @@ from postsignal.llm.common import (
     total_counts,
 )
 
-#: Words of a window, ordinary words that it must hold, and windows that must match (all, where an item has fewer).
+#: Words of a window, and ordinary words that a canonical one must hold.
 WINDOW = 8
 LITERALS = 5
-MATCHES = 2
+#: An item is found where so much of its words is covered, or so many words in a row.
+COVERAGE = 0.5
+RUN = 25
+#: Items of fewer words are found only as the whole text of a document.
+SHORT = 4
 #: Places of the filter that document windows pass before the join (its size does not grow).
 FILTER = 1 << 22
 
@@ -49,7 +55,7 @@ UNIT_WORDS = (
 _DIGIT, _CAPITAL, _SMALL = byte_class((48, 57)), byte_class((65, 90)), byte_class((97, 122), (128, 255))
 _POINT, _STOP = byte_class((44, 44), (46, 46)), byte_class((33, 33), (46, 46), (63, 63), (10, 10))
 _KEYS = np.random.default_rng(3).integers(1, 1 << 62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-WINDOWS = "place int, window long, slots array<long>"
+WINDOWS = "place int, window long, slots array<long>, literal boolean, size int, words int"
 
 
 def _known(words: list[str]) -> np.ndarray:
@@ -66,9 +72,8 @@ def canonical(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     that does not begin a sentence.
     """
     raw = texts.data
-    inside = ALPHANUMERIC[raw]
+    inside = _inside(texts)
     digit, point = _DIGIT[raw], _POINT[raw]
-    inside[1:-1] |= point[1:-1] & digit[:-2] & digit[2:]
     starts, ends, words, bounds = texts.runs(LOWER[raw], inside)
     stops = np.concatenate(([0], np.cumsum(_STOP[raw] & ~inside)))
     before = np.concatenate(([0], ends[:-1]))
@@ -97,44 +102,104 @@ def windows(texts: Texts, size: int = WINDOW) -> tuple[np.ndarray, ...]:
     return at, text[at], mix(total[at]), slot, words, bounds
 
 
-def _window_rows(texts: Texts, ids: pa.Array, keep: np.ndarray | None) -> pa.RecordBatch:
-    at, text, window, slot, words, bounds = windows(texts)
-    if keep is not None:
-        passed = keep[(window % np.uint64(FILTER)).astype(np.int64)]
-        at, text, window = at[passed], text[passed], window[passed]
-    values = [words[a : a + WINDOW][slot[a : a + WINDOW]].view(np.int64) for a in at.tolist()]
-    rows = texts.rows.start + text
+def literal_windows(texts: Texts, sizes: list[int], whole: bool) -> Iterator[tuple]:
+    """Size, place, text and hash of windows of a case-folded slice, and its bounds.
+
+    Texts of ``WINDOW`` words or more give their windows of that size. Sizes below it are those of whole items:
+    with ``whole`` a text gives only itself, otherwise all its windows, below ``SHORT`` only itself.
+    """
+    inside = _inside(texts)
+    words, bounds = texts.runs(LOWER[texts.data], inside)[2:]
+    lengths = np.diff(bounds)
+    text = np.repeat(np.arange(len(texts.rows)), lengths)
+    for size in (*sizes, WINDOW):
+        n = max(0, len(words) - size + 1)
+        good = text[:n] == text[size - 1 : size - 1 + n]
+        if size < WINDOW and (whole or size < SHORT):
+            good &= lengths[text[:n]] == size
+        at = np.flatnonzero(good)
+        total = np.full(len(at), size, np.uint64)
+        for i in range(size):
+            total += words[at + i] * _KEYS[20 + i]
+        yield size, at, text[at], mix(total), bounds
+
+
+def _inside(texts: Texts) -> np.ndarray:
+    raw = texts.data
+    inside = ALPHANUMERIC[raw]
+    digit, point = _DIGIT[raw], _POINT[raw]
+    inside[1:-1] |= point[1:-1] & digit[:-2] & digit[2:]
+    return inside
+
+
+def _record(ids: pa.Array, rows, places, window, values, literal: bool, size: int, words) -> pa.RecordBatch:
+    n = len(window)
     return pa.record_batch(
         [
             ids.take(pa.array(rows)),
-            pa.array((at - bounds[text]).astype(np.int32)),
+            pa.array(places.astype(np.int32)),
             pa.array(window.view(np.int64)),
             pa.array(values, pa.list_(pa.int64())),
+            pa.array(np.full(n, literal)),
+            pa.array(np.full(n, size, np.int32)),
+            pa.array(words.astype(np.int32)),
         ],
-        ["id", "place", "window", "slots"],
+        ["id", "place", "window", "slots", "literal", "size", "words"],
     )
 
 
-def _rows(frame: DataFrame, keep=None) -> DataFrame:
+def _window_rows(texts: Texts, folded: Texts, ids: pa.Array, keep: np.ndarray | None, sizes: list[int]) -> Iterator[pa.RecordBatch]:
+    def passed(window):
+        return slice(None) if keep is None else keep[(window % np.uint64(FILTER)).astype(np.int64)]
+
+    at, text, window, slot, words, bounds = windows(texts)
+    good = passed(window)
+    at, text, window = at[good], text[good], window[good]
+    values = [words[a : a + WINDOW][slot[a : a + WINDOW]].view(np.int64) for a in at.tolist()]
+    yield _record(ids, texts.rows.start + text, at - bounds[text], window, values, False, WINDOW, np.diff(bounds)[text])
+    for size, at, text, window, bounds in literal_windows(folded, sizes, keep is None):
+        good = passed(window)
+        at, text, window = at[good], text[good], window[good]
+        yield _record(ids, texts.rows.start + text, at - bounds[text], window, [[]] * len(at), True, size, np.diff(bounds)[text])
+
+
+def _rows(frame: DataFrame, sizes: list[int], keep=None) -> DataFrame:
     def work(parts):
         for part in parts:
             for texts in slices(part.column(1)):
-                yield _window_rows(texts, part.column(0), None if keep is None else keep.value)
+                own = part.column(1).slice(texts.rows.start, len(texts.rows)).to_pylist()
+                folded = Texts(texts.rows, [(t or "").casefold().encode("utf-8", "surrogatepass") for t in own])
+                yield from _window_rows(texts, folded, part.column(0), None if keep is None else keep.value, sizes)
 
     return batches(frame, work, f"id long, {WINDOWS}")
 
 
-def leaks(documents: DataFrame, benchmark: DataFrame, matches: int = MATCHES) -> DataFrame:
+def _covered(places, size):
+    """Words under windows of one size at sorted places, and the most of them in a row."""
+    none = F.struct(F.lit(0).alias("all"), F.lit(0).alias("run"), F.lit(0).alias("most"), F.lit(0).alias("end"))
+
+    def step(had, place):
+        added = F.least(size, place + size - had["end"])
+        run = F.when(place <= had["end"], had["run"] + added).otherwise(size)
+        return F.struct((had["all"] + added).alias("all"), run.alias("run"), F.greatest(had["most"], run).alias("most"), (place + size).alias("end"))
+
+    return F.aggregate(places, none, step)
+
+
+def leaks(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, run: int = RUN) -> DataFrame:
     """Documents that hold benchmark items: one row per ``doc_id, item_id``.
 
-    ``n_windows`` of the item's ``item_windows`` match on the best alignment, ``coverage`` is their ratio,
-    ``n_changed`` counts slots whose value differs, ``place`` is the word at which the first match begins.
-    Null texts count as empty. Items of fewer than ``WINDOW`` words, or with too few ordinary words in every
-    window, are not searched. Repeated rows of an id count as one; rows with a null id are reported under
-    a null id. Empty tables give no rows. Other columns are not read.
+    ``n_windows`` of the item's ``item_windows`` places match on the best alignment, ``coverage`` is the share of
+    its words that they cover, ``n_changed`` counts slots whose value differs, ``place`` is the word at which the
+    first match begins. An item is found by ``coverage`` or by ``run`` words in a row. Where the slots of an
+    alignment clash, only its literal windows count. Items of fewer than ``WINDOW`` words are searched as a whole,
+    with their values; those below ``SHORT`` only as a whole document. Null texts count as empty. Repeated rows of
+    an id count as one; rows with a null id are reported under a null id. Empty tables give no rows. Other columns
+    are not read.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    items = staged(_rows(items.distinct()), "windows")
+    items = staged(_rows(items.distinct(), list(range(1, WINDOW))), "windows")
+    sizes = sorted(r["size"] for r in items.filter(F.col("size") < WINDOW).select("size").distinct().collect())
 
     def mark(parts):
         places = np.zeros(FILTER, np.int64)
@@ -145,33 +210,55 @@ def leaks(documents: DataFrame, benchmark: DataFrame, matches: int = MATCHES) ->
     marks = total_counts(batches(items.select("window"), mark, COUNT_ROWS), FILTER) > 0
     keep = documents.sparkSession.sparkContext.broadcast(marks)
     texts = documents.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    found = _rows(texts, keep).withColumnsRenamed({"id": "doc_id", "place": "doc_place", "slots": "doc_slots"})
+    found = _rows(texts, sizes, keep).drop("literal", "size", "words")
+    found = found.withColumnsRenamed({"id": "doc_id", "place": "doc_place", "slots": "doc_slots"})
     own = items.withColumnsRenamed({"id": "item_id", "place": "item_place", "slots": "item_slots"})
     pairs = found.join(own, "window").select(
         "doc_id",
         "item_id",
         (F.col("doc_place") - F.col("item_place")).alias("shift"),
         "item_place",
-        "doc_place",
+        "literal",
+        "size",
+        "words",
         F.arrays_zip("item_slots", "doc_slots").alias("slots"),
     )
     # An alignment has at most the item's windows, so its slots are few.
     aligned = pairs.groupBy("doc_id", "item_id", "shift").agg(
-        F.countDistinct("item_place").alias("n_windows"),
-        F.min("doc_place").alias("place"),
+        F.collect_set("item_place").alias("places"),
+        F.collect_set(F.when(F.col("literal"), F.col("item_place"))).alias("literal_places"),
+        F.max("size").alias("size"),
+        F.max("words").alias("words"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
     )
     filled = F.size("slots")
-    aligned = aligned.filter(
-        (F.size(F.array_distinct("slots.item_slots")) == filled) & (F.size(F.array_distinct("slots.doc_slots")) == filled)
-    ).withColumn("n_changed", F.size(F.filter("slots", lambda s: s["item_slots"] != s["doc_slots"])))
+    fits = (F.size(F.array_distinct("slots.item_slots")) == filled) & (F.size(F.array_distinct("slots.doc_slots")) == filled)
+    changed = F.size(F.filter("slots", lambda s: s["item_slots"] != s["doc_slots"]))
+    aligned = aligned.select(
+        "doc_id",
+        "item_id",
+        "shift",
+        "size",
+        "words",
+        F.array_sort(F.when(fits, F.col("places")).otherwise(F.col("literal_places"))).alias("places"),
+        F.when(fits, changed).otherwise(0).alias("n_changed"),
+    ).filter(F.size("places") > 0)
+    aligned = aligned.withColumn("covered", _covered(F.col("places"), F.col("size"))).select(
+        "doc_id",
+        "item_id",
+        F.size("places").cast("long").alias("n_windows"),
+        "n_changed",
+        (F.element_at("places", 1) + F.col("shift")).alias("place"),
+        (F.col("covered.all") / F.col("words")).alias("coverage"),
+        F.col("covered.most").alias("run"),
+    )
+    aligned = aligned.filter((F.col("coverage") >= coverage) | (F.col("run") >= run))
     best = aligned.groupBy("doc_id", "item_id").agg(
-        F.max_by(F.struct("n_windows", "n_changed", "place"), F.struct("n_windows", -F.col("n_changed"), -F.col("place"))).alias("best")
+        F.max_by(
+            F.struct("n_windows", "n_changed", "place", "coverage"), F.struct("coverage", "n_windows", -F.col("n_changed"), -F.col("place"))
+        ).alias("best")
     )
-    sizes = own.groupBy("item_id").agg(F.countDistinct("item_place").alias("item_windows"))
-    return (
-        best.join(sizes, F.col("best").isNotNull() & best["item_id"].eqNullSafe(sizes["item_id"]))
-        .select(best["doc_id"], best["item_id"], "best.*", "item_windows")
-        .filter(F.col("n_windows") >= F.least(F.lit(matches), F.col("item_windows")))
-        .withColumn("coverage", F.col("n_windows") / F.col("item_windows"))
+    totals = own.groupBy("item_id").agg(F.countDistinct("item_place").alias("item_windows"))
+    return best.join(totals, F.col("best").isNotNull() & best["item_id"].eqNullSafe(totals["item_id"])).select(
+        best["doc_id"], best["item_id"], "best.n_windows", "best.n_changed", "best.place", "item_windows", "best.coverage"
     )

@@ -183,6 +183,20 @@ def test_leaks_with_other_numbers_and_names(spark, docs):
     assert hits[100, 1].n_changed == 3 and hits[4, 4].coverage == 1 and hits[4, 4].n_changed == 0
 
 
+def test_leaks_are_decided_by_coverage_and_plain_copies_match(spark):
+    stem = "which of the following statements is true about the"
+    long = stem + " " + sentence(77, 41)
+    sums = "12 + 7 = 19 and 30 - 4 = 26 and 5 * 6 = 30"
+    names = "Yesterday Anna met Peter and Laura near Berlin before Émile called Maria about 12 old houses in town"
+    bench = [(1, long), (2, sums), (3, "Name the 3 primary colours"), (4, names), (5, "yes")]
+    rows = [(1, f"{sentence(5, 20)} {stem} {sentence(6, 20)}"), (2, f"See {sums} here"), (3, "So: name the 3 primary colours now")]
+    rows += [(4, names.lower()), (5, names.upper()), (6, "oh yes it is"), (7, "Yes."), (8, "Name the 4 primary colours"), (9, "x " + " ".join(long.split()[:35]))]
+    found = template_leaks.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"))
+    hits = {(r.doc_id, r.item_id): r.coverage for r in found.collect()}
+    assert set(hits) == {(2, 2), (3, 3), (4, 4), (5, 4), (7, 5), (9, 1)}
+    assert hits[2, 2] == hits[5, 4] == 1 and hits[9, 1] == 0.7
+
+
 def test_toxicity_learns_words(spark, docs, labels):
     rows = [(i, sentence(i, 30) + (" vile scumbag" if i % 3 == 0 else "")) for i in range(200, 500)]
     texts = docs.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string"))
