@@ -21,21 +21,37 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter(F.col("quality score of the row") >= knn_quality.THRESHOLD).select(*docs.columns)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``row key``, a hash of id and text: rows that share an id, or have none, differ by it."""
+    key = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
+    return docs.withColumn("row key", key)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one row of every group of similar documents, that with the smallest id; rows without an id stay."""
-    groups = partenum.similar_groups(docs)
-    dropped = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    repeated = staged(docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "repeated")
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once)
+    """Keep one row of every group of similar documents, that with the smallest id; one without an id is the last choice.
+
+    Rows of one id and text are copies, of which one stays; different texts under one id are different documents.
+    """
+    keyed = _keyed(docs)
+    groups = partenum.similar_groups(keyed.select(F.col("row key").alias("doc_id"), "text"))
+    groups = staged(groups.select(F.col("doc_id").alias("row key"), "component_id").distinct(), "groups")
+    ids = keyed.select("row key", F.col("doc_id").alias("id")).distinct()
+    first = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "row key"))
+    chosen = groups.join(ids, "row key").groupBy("component_id").agg(first.alias("first")).select("first.row key")
+    kept = keyed.join(chosen, "row key", "left_semi")
+    repeated = staged(keyed.groupBy("row key").count().filter("count > 1").select("row key"), "repeated")
+    once = kept.join(repeated, "row key", "left_semi").dropDuplicates(["row key"])
+    return kept.join(repeated, "row key", "left_anti").unionByName(once).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop rows that hold a benchmark item; rows without an id count as one document."""
-    found = template_leaks.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    leaked = found.select(F.col("doc_id").alias("leaked")).distinct()
-    return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["leaked"]), "left_anti")
+    """Drop rows that hold a benchmark item; each row is judged by its own text."""
+    keyed = _keyed(docs)
+    found = template_leaks.leaks(
+        keyed.select(F.col("row key").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    )
+    leaked = found.select(F.col("doc_id").alias("row key")).distinct()
+    return keyed.join(leaked, "row key", "left_anti").select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,3 +43,19 @@ def test_stages_take_odd_rows(spark):
         assert corpus_pipeline.STAGES[-1][1](spark, frame, DATA).count() >= 0
     once = [r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, DATA).collect()]
     assert sorted(once, key=str) == [1, 2, 3, None, None]
+
+
+def test_rows_that_share_an_id_are_kept_or_dropped_by_themselves(spark, tmp_path):
+    texts = {n: " ".join(f"{n}{i * 7 % 31}" for i in range(30)) for n in "xyzuv"}
+    rows = [(5, "x"), (7, "x"), (5, "y"), (3, "y"), (None, "z"), (None, "z"), (None, "u"), (9, "u"), (2, "v"), (2, "v")]
+    docs = spark.createDataFrame([(i, texts[t], t) for i, t in rows], "doc_id long, text string, source string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, DATA).collect()
+    assert sorted((r.source, r.doc_id) for r in kept) == [("u", 9), ("v", 2), ("x", 5), ("y", 3), ("z", None)]
+
+    item = "A farmer sells 12 apples to Anna and keeps 30 apples for the market near 12 old houses in town"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    changed = item.replace("12", "7").replace("30", "55")
+    rows = [(None, item), (None, "clean words"), (None, None), (4, changed), (4, item.replace("12", "8").replace("30", "9")), (4, "other words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()
+    assert {(r.doc_id, r.text) for r in left} == {(None, "clean words"), (None, None), (4, "other words")} and len(left) == 3
