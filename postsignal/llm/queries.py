@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postsignal.llm import (
+    bitmap_merkle,
     bootstrap_pii,
     elias_fano_lm,
     knn_quality,
     license_join,
     nb_toxicity,
+    orchard_codes,
     partenum,
     prefix_forest,
     template_leaks,
     two_fit_packing,
+    uniform_shards,
     warc_index,
 )
 
@@ -68,6 +71,18 @@ def op10_prefix_forest_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_forest.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return uniform_shards.shard_digest(uniform_shards.shuffled(_table(spark, sf_dir, "documents"), in_place=True))
+
+
+def op12_bitmap_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitmap_merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
+def op13_orchard_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard_codes.compressed(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     own = (
         op1_elias_fano_lm,
@@ -80,6 +95,9 @@ def queries() -> dict[str, Query]:
         op8_partenum_jaccard,
         op9_knn_quality,
         op10_prefix_forest_search,
+        op11_hypergeometric_shards,
+        op12_bitmap_merkle,
+        op13_orchard_codes,
     )
     return {query.__name__: query for query in own}
 
@@ -147,8 +165,90 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
 FROM payloads LEFT JOIN last USING (d)"""
 
 
+#: Levels of a tree that the statement spells out: enough for 16 ** 5 leaves a source and 16 ** 4 sources.
+_LEAF_LEVELS, _SOURCE_LEVELS = 5, 4
+
+
+def _tree(name: str, group: str, levels: int) -> str:
+    """Statements ``{name}1`` ... from ``{name}0 (g, i, h)``: nodes of each level with the digests around them, ``m`` nodes in all."""
+    out = []
+    for k in range(levels + 1):
+        run = "OVER (PARTITION BY g, i // 16 ORDER BY i ROWS BETWEEN"
+        out.append(
+            f"""{name}s{k} AS (SELECT *, count(*) OVER (PARTITION BY g) AS m, coalesce(string_agg(h, '') {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+            coalesce(string_agg(h, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a FROM {name}{k})"""
+        )
+        if k < levels:
+            up = "CASE WHEN any_value(m) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END"
+            out.append(f"{name}{k + 1} AS (SELECT g, i // 16 AS i, {up} AS h FROM {name}s{k} GROUP BY g, i // 16)")
+    return ",\n".join(out)
+
+
+def _manifest() -> str:
+    def part(value: str) -> str:
+        return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+    def leaf(text: str) -> str:
+        own = [part(f"CAST({c} AS VARCHAR)") for c in ("doc_id", "source", "lang", "n_chars")]
+        return f"sha256({' || '.join([*own, part(text)])})"
+
+    step = "CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END"
+    byte = f"list_reduce([xor(c, d), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: {step})"
+    digits = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))"
+    crc = f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {digits}), lambda c, d: {byte}), 4294967295)"
+    lower = f"translate(text, '{bitmap_merkle.UPPER}', '{bitmap_merkle.LOWER}')"
+    proof = "''"
+    folded, joins = "changed", []
+    for name, levels, place, group in (("l", _LEAF_LEVELS, "i", "r.g"), ("t", _SOURCE_LEVELS, "n", "0")):
+        for k in range(levels):
+            at = f"{name}_{k}"
+            joins.append(f"JOIN {name}s{k} {at} ON {at}.g = {group} AND {at}.i = r.{place} // {16**k}")
+            proof += f" || {at}.b || {at}.a"
+            folded = f"CASE WHEN {at}.m = 1 THEN {folded} ELSE sha256({at}.b || {folded} || {at}.a) END"
+    return f"""
+WITH leaves AS (SELECT doc_id, source, {leaf('text')} AS h, CASE WHEN coalesce({crc}, 0) % 5 = 0 THEN {leaf(lower)} ELSE {leaf('text')} END AS changed FROM documents),
+named AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS g FROM (SELECT DISTINCT source FROM documents)),
+rows_ AS MATERIALIZED (SELECT doc_id, h, changed, g, g AS n, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS i
+          FROM leaves JOIN named ON leaves.source IS NOT DISTINCT FROM named.source),
+l0 AS (SELECT g, i, h FROM rows_),
+{_tree("l", "g", _LEAF_LEVELS)},
+t0 AS (SELECT 0 AS g, g AS i, h FROM l{_LEAF_LEVELS}),
+{_tree("t", "g", _SOURCE_LEVELS)},
+done AS (SELECT r.doc_id, r.h AS leaf, t_0.h AS subroot, (SELECT h FROM t{_SOURCE_LEVELS}) AS root, sha256({proof}) AS proof_sha256, {folded} AS folded_root
+         FROM rows_ r {' '.join(joins)})
+SELECT *, folded_root = root AS verified FROM done"""
+
+
+def _codes() -> str:
+    scale, n, entries = orchard_codes.SCALE, orchard_codes.PARTS, orchard_codes.ENTRIES
+    bad = "list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))"
+    apart = "list_sum(list_transform(range(1, len(v) + 1), lambda i: (v[i] - c[i]) * (v[i] - c[i])))"
+    rounds = []
+    for r in range(orchard_codes.ROUNDS + 1):
+        rounds.append(
+            f"near{r} AS MATERIALIZED (SELECT id, p, v, min({{'d': CAST({apart} AS BIGINT), 'e': e}}) AS best FROM parts JOIN book{r} USING (p) GROUP BY id, p, v)"
+        )
+        if r < orchard_codes.ROUNDS:
+            rounds.append(
+                f"""means{r} AS (SELECT p, best.e AS e, i, CAST(floor(sum(v[i]) / count(*)) AS BIGINT) AS x FROM near{r}, range(1, len(v) + 1) t(i) GROUP BY ALL),
+book{r + 1} AS MATERIALIZED (SELECT p, e, coalesce(m.c, b.c) AS c FROM book{r} b LEFT JOIN (SELECT p, e, list(x ORDER BY i) AS c FROM means{r} GROUP BY p, e) m USING (p, e))"""
+            )
+    last = orchard_codes.ROUNDS
+    return f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS id, vec_id, label, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS g
+              FROM embeddings WHERE embedding IS NOT NULL AND len({bad}) = 0),
+parts AS MATERIALIZED (SELECT id, p, g[p * len(g) // {n} + 1:(p + 1) * len(g) // {n}] AS v FROM kept, range({n}) t(p)),
+book0 AS MATERIALIZED (SELECT p, id AS e, v AS c FROM parts WHERE id < {entries}),
+{(',' + chr(10)).join(rounds)},
+coded AS (SELECT id, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM near{last} GROUP BY id),
+digest AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{last})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded JOIN kept USING (id), digest"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op12_bitmap_merkle": _manifest(),
+        "op13_orchard_codes": _codes(),
         "op5_license_set_join": _licenses(),
         "op7_warc_index_merge": _archives(),
         "op8_partenum_jaccard": _groups(),
