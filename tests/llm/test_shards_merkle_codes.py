@@ -150,6 +150,8 @@ def path(levels, i):
 
 
 def manifest_by_hand(rows):
+    if not rows:
+        return
     groups = {}
     for doc_id, text, lang, source, n_chars in rows:
         own = digest(*map(encoded, (doc_id, source, lang, n_chars, text)))
