@@ -62,6 +62,15 @@ def _calendar_start(timestamp: Column, months: int) -> Column:
     ).cast("timestamp")
 
 
+def bucket_start(every: str) -> Column:
+    """The start of the bucket that ``timestamp`` falls into."""
+    width = parse_every(every)
+    if width.months:
+        return _calendar_start(F.col("timestamp"), width.months)
+    place = F.unix_micros("timestamp") - width.offset_micros
+    return F.timestamp_micros(place - F.pmod(place, F.lit(width.micros)) + width.offset_micros)
+
+
 def bucket_statistics() -> list[Column]:
     """The bucket columns; every one of them has a partial form, so a hot bucket stays cheap."""
     signal = F.col("composite_signal")

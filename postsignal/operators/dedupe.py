@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from postsignal.functions.scalars import cleaned_key, record_key, sha256_hex
 from postsignal.operators.lookup import join_runs
-from postsignal.operators.rows import rank_places, with_required_values
+from postsignal.operators.order import value_at_rank
+from postsignal.operators.rows import with_required_values
 
 
 def first_per_key(posts: DataFrame, key: str, *order: str) -> DataFrame:
@@ -103,7 +104,7 @@ def count_new_per_batch(
     rows = with_required_values(posts)
     firsts = rows.groupBy(*run, "tweet_id").agg(F.min(place).alias("_first"))
     if limit is not None:
-        ends = rank_places(firsts, limit, "_first", run).withColumnRenamed("_first", "_end")
+        ends = value_at_rank(firsts, limit, "_first", run).withColumnRenamed("_first", "_end")
         firsts = _up_to(firsts, F.col("_first"), ends, run)
         rows = _up_to(rows, place, ends, run)
     seen = rows.groupBy(*run, batch).agg(F.count(F.lit(1)).alias("_seen"))

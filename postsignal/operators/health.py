@@ -47,7 +47,7 @@ def is_degraded(thresholds: SourceThresholds) -> Column:
     )
 
 
-def _running_totals(batches: DataFrame, width: int) -> DataFrame:
+def _running_totals(batches: DataFrame, width: int, runs: DataFrame | None) -> DataFrame:
     """Add total_batches, total_collected, total_duplicates, empty_run, run start and run length."""
     rows = batches.withColumn("_segment", F.floor(F.col("batch_seq") / F.lit(width)).cast("bigint"))
     inside = Window.partitionBy(*RUN, "_segment").orderBy("batch_seq").rowsBetween(*_UP_TO)
@@ -85,6 +85,10 @@ def _running_totals(batches: DataFrame, width: int) -> DataFrame:
     )
     last_before = F.max(F.col("_last") + F.col("_n_before")).over(across.rowsBetween(*_BEFORE))
     segments = segments.withColumn("_last_before", last_before).drop("_last")
+    if runs is not None:  # one row per segment meets its run, not every batch
+        starts = runs.select(*RUN, F.col("started_at").alias("_started_at"))
+        started = F.coalesce("_started_at", "run_started_at")
+        segments = segments.join(starts, [*RUN], "left").withColumn("run_started_at", started).drop("_started_at")
     joined = rows.join(segments, [*RUN, "_segment"])
     total = F.col("_n_before") + F.col("_n")
     last = F.coalesce(F.col("_last") + F.col("_n_before"), F.col("_last_before"), F.lit(0))
@@ -122,9 +126,13 @@ def source_health(
     batches: DataFrame,
     thresholds: SourceThresholds = SourceThresholds(),
     segment_width: int = SEGMENT_WIDTH,
+    runs: DataFrame | None = None,
 ) -> DataFrame:
-    """Every batch with the run's metrics as of it and whether the source counts as degraded."""
-    rows = _running_totals(batches, segment_width)
+    """Every batch with the run's metrics as of it and whether the source counts as degraded.
+
+    The rate counts from the run's ``started_at`` in ``runs``; without it, from the first batch.
+    """
+    rows = _running_totals(batches, segment_width, runs)
     rows = _rolling_mean(rows, thresholds.rolling_batches, segment_width)
     elapsed = (F.unix_micros("batch_at") - F.unix_micros("run_started_at")) / F.lit(1_000_000.0)
     measured = rows.withColumns(

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BLOCK_WIDTH = 1_000_000
+from postsignal.operators.order import value_at_rank
 
 
 def with_required_values(posts: DataFrame, columns: tuple[str, ...] = ("tweet_id", "content")) -> DataFrame:
@@ -31,42 +31,20 @@ def first_posts(posts: DataFrame, limit: int, order: str = "ingest_seq") -> Data
     """First ``limit`` rows in ingest order.
 
     The cut-off value is found from the order column alone and becomes a filter on the scan, so posts
-    never gather anywhere. ``order`` must be unique: an integer, or a struct such as (file, block, line).
+    never gather anywhere. ``order`` must be unique: an integer, dense or not, or a struct of integers.
     Rows without an order value have no place and do not count among the first.
     """
     if limit < 0:
         raise ValueError("limit must not be negative")
     if limit == 0:
         return posts.limit(0)
-    places = posts.where(F.col(order).isNotNull()).select(order)
-    last = places.agg(F.max(order).alias(order))
-    cut = rank_places(places, limit, order).unionByName(last).agg(F.min(order)).scalar()
-    return posts.where(F.col(order) <= cut)
+    cut = value_at_rank(posts, limit, order).first()
+    if cut is None:  # fewer rows than the limit
+        return posts.where(F.col(order).isNotNull())
+    return posts.where(F.col(order) <= _literal(cut[0], posts.schema[order].dataType))
 
 
-def _block(places: DataFrame, order: str) -> Column:
-    """A coarser value that sorts like ``order`` and holds at most ``BLOCK_WIDTH`` unique places."""
-    kind = places.schema[order].dataType
-    if not isinstance(kind, T.StructType):
-        return F.floor(F.col(order) / F.lit(BLOCK_WIDTH)).cast("bigint")
-    *leading, last = (F.col(f"{order}.{name}").alias(name) for name in kind.fieldNames())
-    return F.struct(*leading, F.floor(last / F.lit(BLOCK_WIDTH)).cast("bigint").alias("range"))
-
-
-def rank_places(
-    places: DataFrame, rank: int, order: str, keys: tuple[str, ...] = ()
-) -> DataFrame:
-    """The value of ``order`` at ``rank`` (from 1) within each key; keys with fewer rows have none.
-
-    Counts per block find the block that holds the rank, and only its values are ranked. A task adds
-    up the block counts of a key: one row per ``BLOCK_WIDTH`` places.
-    """
-    blocks = places.select(*keys, order, _block(places, order).alias("_block"))
-    counts = blocks.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    holder = counts.where((F.col("_before") < rank) & (F.col("_before") + F.col("_n") >= rank))
-    # Without keys the holder is a single row; with keys a block spreads over the join's tasks.
-    inside = blocks.join(holder if keys else F.broadcast(holder), [*keys, "_block"])
-    place = F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(order)) + F.col("_before")
-    return inside.withColumn("_place", place).where(F.col("_place") == rank).select(*keys, order)
+def _literal(value: object, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StructType):
+        return F.struct(*(F.lit(value[f.name]).cast(f.dataType).alias(f.name) for f in kind.fields))
+    return F.lit(value).cast(kind)

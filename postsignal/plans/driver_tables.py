@@ -87,6 +87,41 @@ SELECT source_name, run_id, count(*) AS n_records,
 FROM {posts} GROUP BY source_name, run_id
 """
 
+# Six hours of a source run as one batch: richer than INGEST_BATCHES, with login walls seen ahead of some batches.
+RUN_BATCHES = """
+SELECT concat('feed_', CAST(user_id % 3 AS STRING)) AS source_name,
+       concat('run_', CAST(user_id % 7 AS STRING)) AS run_id,
+       CAST(floor((extract(day FROM ts) * 24 + extract(hour FROM ts)) / 6) AS BIGINT) AS batch_seq,
+       min(ts) AS batch_at,
+       CAST(sum(CASE WHEN event_type IN ('view', 'click', 'purchase') AND user_id % 4 <> 1 THEN 1 ELSE 0 END) AS BIGINT)
+           AS new_records,
+       CAST(sum(CASE WHEN event_type = 'error' OR user_id % 5 = 2 THEN 1 ELSE 0 END) AS BIGINT) AS duplicates,
+       max(CASE WHEN event_type = 'signup' AND event_id % 37 = 5 AND user_id % 2 = 0 THEN 1 ELSE 0 END) = 1 AS login_wall
+FROM {events} GROUP BY 1, 2, 3
+"""
+
+# The runs of some batches, and one without batches for each source.
+CAPTURE_RUNS = """
+SELECT source_name, run_id, min(batch_at) - INTERVAL '30' MINUTE AS started_at,
+       CAST(CASE run_id WHEN 'run_1' THEN 5 WHEN 'run_2' THEN 40 WHEN 'run_3' THEN NULL WHEN 'run_4' THEN 0
+            ELSE 1000000 END AS BIGINT) AS row_limit,
+       run_id = 'run_5' AND source_name = 'feed_2' AS degraded_before_start,
+       CASE WHEN run_id = 'run_6' THEN 'other' END AS error_kind,
+       CASE WHEN run_id = 'run_6' THEN 'capture broke off' END AS error_message
+FROM {batches} GROUP BY source_name, run_id
+UNION ALL
+SELECT source_name, 'run_empty', min(batch_at), CAST(10 AS BIGINT), false, NULL, NULL FROM {batches} GROUP BY source_name
+"""
+
+# Posts with the batch that brought them, six hours of their run, and those batches.
+LIVE_POSTS = """
+SELECT *, CAST(floor((extract(day FROM event_ts) * 24 + extract(hour FROM event_ts)) / 6) AS BIGINT) AS batch_seq FROM {posts}
+"""
+CAPTURES = """
+SELECT source_name, run_id, batch_seq, min(event_ts) AS batch_at, max(CASE WHEN ingest_seq % 97 = 13 THEN 1 ELSE 0 END) = 1 AS login_wall
+FROM {posts} GROUP BY source_name, run_id, batch_seq
+"""
+
 # Captured article fragments: links, texts and counter labels as a browser would show them.
 ARTICLES = """
 SELECT d.doc_id AS ingest_seq,
@@ -175,6 +210,28 @@ def source_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_times(frame: DataFrame, *names: str) -> DataFrame:
+    return frame.withColumns({name: F.col(name).cast("timestamp") for name in names})
+
+
+def capture_runs(spark: SparkSession, batches: DataFrame) -> DataFrame:
+    return _with_times(spark.sql(CAPTURE_RUNS, batches=batches), "started_at")
+
+
+def run_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_times(_query(spark, sf_dir, RUN_BATCHES, "events"), "batch_at")
+
+
+def live_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(LIVE_POSTS, posts=posts(spark, sf_dir))
+
+
+def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batches of ``live_posts``."""
+    raw = spark.sql(LIVE_POSTS, posts=_query(spark, sf_dir, POSTS, "documents", "events"))
+    return _with_times(spark.sql(CAPTURES, posts=raw), "batch_at")
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captured articles in the shape ``sources.articles.extract_posts`` reads."""
     captured = _query(spark, sf_dir, ARTICLES, "documents", "events")

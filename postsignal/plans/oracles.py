@@ -5,7 +5,7 @@ from __future__ import annotations
 from postsignal.functions.signals import NEGATIVE_TERMS, POSITIVE_TERMS
 from postsignal.operators.tfidf import DEFAULT_TERMS
 from postsignal.plans import driver_tables as tables
-from postsignal.plans.queries import LIMIT, STREAM_DELAY
+from postsignal.plans.queries import CUT_RULES, LIMIT, STREAM_DELAY
 from postsignal.schema import COUNT_FIELDS, SourceThresholds
 from postsignal.sources import runs
 from postsignal.sources.articles import LOGIN_MARKERS
@@ -135,6 +135,13 @@ scores AS (
     GROUP BY o.ingest_seq, o.term, v.rank, v.idf)"""
 
 
+def _scored_live() -> str:
+    """``posts`` of the live run, cleaned, deduplicated and scored, with their run."""
+    cleaned = WITH_CLEAN.split("clean AS (")[1].replace("SELECT ingest_seq,", "SELECT ingest_seq, source_name, run_id,", 1)
+    deduped = WITH_DEDUPED.split("deduped AS (")[1]
+    return f"{WITH_LIVE}, clean AS ({cleaned}, deduped AS ({deduped}, {_with_signals('deduped')}"
+
+
 def _buckets(start: str, source: str = WITH_SIGNALS, having: str = "") -> str:
     return f"""{source}
 SELECT {start} AS timestamp, count(*) AS tweet_count,
@@ -196,6 +203,86 @@ health AS (
                   AND records_per_minute < {_LIMITS.min_records_per_minute}) AS degraded
     FROM measured)"""
 
+_RULES = CUT_RULES
+_CUT = _RULES.thresholds
+
+
+def _cut(batches: str, runs_: str) -> str:
+    """Relations from ``batches`` and ``capture_runs`` to ``through`` (the batches that count) and ``cut`` (a row per run)."""
+    return f"""batches AS MATERIALIZED ({batches}),
+capture_runs AS MATERIALIZED ({runs_}),
+numbered_batches AS (
+    SELECT b.*, r.row_limit, r.started_at, r.degraded_before_start OR coalesce(r.row_limit < 1, false) AS skipped,
+           count(*) OVER w AS total_batches, CAST(sum(b.new_records) OVER w AS BIGINT) AS total_collected,
+           CAST(sum(b.duplicates) OVER w AS BIGINT) AS total_duplicates,
+           sum(CASE WHEN b.new_records > 0 THEN 1 ELSE 0 END) OVER w AS island
+    FROM batches b JOIN capture_runs r USING (source_name, run_id)
+    WINDOW w AS (PARTITION BY source_name, run_id ORDER BY batch_seq)),
+told AS (
+    SELECT *, sum(CASE WHEN new_records = 0 THEN 1 ELSE 0 END) OVER (
+                  PARTITION BY source_name, run_id, island ORDER BY batch_seq) AS empty_run,
+           (epoch_us(batch_at) - epoch_us(started_at)) / 1000000.0 AS elapsed,
+           total_duplicates / greatest(total_collected + total_duplicates, 1) AS ratio FROM numbered_batches),
+flagged AS (
+    SELECT *, empty_run >= {_CUT.max_empty_run} OR (ratio > {_CUT.max_duplicate_ratio} AND total_duplicates > 0)
+              OR (total_batches >= {_CUT.rolling_batches}
+                  AND total_collected / (greatest(elapsed, 1.0) / 60.0) < {_CUT.min_records_per_minute}) AS degraded FROM told),
+tried AS (
+    SELECT *, sum(CASE WHEN degraded THEN 1 ELSE 0 END) OVER (PARTITION BY source_name, run_id ORDER BY batch_seq) AS times FROM flagged),
+stops AS (
+    SELECT source_name, run_id, min({{'at': batch_seq, 'why': CASE WHEN elapsed >= {_RULES.timeout_seconds} THEN 0 WHEN login_wall THEN 1
+               WHEN total_collected >= row_limit THEN 2 ELSE 3 END}}) AS stop
+    FROM tried WHERE elapsed >= {_RULES.timeout_seconds} OR login_wall OR coalesce(total_collected >= row_limit, false)
+                     OR (degraded AND times > {_RULES.max_retries}) GROUP BY source_name, run_id),
+through AS (
+    SELECT t.*, t.batch_seq AS seq FROM tried t LEFT JOIN stops s USING (source_name, run_id)
+    WHERE NOT t.skipped AND (s.stop IS NULL OR t.batch_seq < s.stop.at OR (t.batch_seq = s.stop.at AND s.stop.why >= 2))),
+ended AS (
+    SELECT source_name, run_id, max(seq) AS last_batch, max(total_batches) AS total_batches, max(total_collected) AS collected,
+           max(total_duplicates) AS duplicates, max(batch_at) AS last_at FROM through GROUP BY source_name, run_id),
+found AS (
+    SELECT r.*, least(coalesce(e.collected, 0), CASE WHEN r.row_limit IS NOT NULL THEN greatest(r.row_limit, 0) END) AS had, coalesce(e.duplicates, 0) AS total_duplicates,
+           coalesce(e.total_batches, 0) AS total_batches, e.last_batch, e.last_at, CASE WHEN r.row_limit < 1 THEN 2 ELSE s.stop.why END AS why
+    FROM capture_runs r LEFT JOIN ended e USING (source_name, run_id) LEFT JOIN stops s USING (source_name, run_id)),
+cut AS (
+    SELECT source_name, run_id, row_limit, started_at, total_duplicates, total_batches, last_batch,
+           CASE why WHEN 0 THEN 'time_up' WHEN 1 THEN 'login_wall' WHEN 2 THEN 'full' WHEN 3 THEN 'throttled' ELSE 'no_more_batches' END AS stop_reason,
+           CASE WHEN degraded_before_start THEN 0 ELSE had END AS n_records, coalesce(last_at, started_at) AS ended_at,
+           round(had_ratio, 6) AS duplicate_ratio, round(coalesce(had / (greatest((epoch_us(last_at) - epoch_us(started_at)) / 1000000.0, 1.0) / 60.0), 0.0), 6)
+               AS records_per_minute,
+           CASE WHEN degraded_before_start OR why = 3 THEN 'THROTTLED' WHEN why = 1 THEN 'LOGIN_REQUIRED'
+                WHEN why IS NULL AND error_kind IS NOT NULL THEN 'FAILED' WHEN had = 0 THEN 'THROTTLED'
+                WHEN had < row_limit THEN 'PARTIAL' ELSE 'SUCCESS' END AS status,
+           CASE WHEN degraded_before_start THEN '{runs.ALREADY_DEGRADED}' WHEN why = 3 THEN '{runs.RETRIES_EXHAUSTED}'
+                WHEN why = 1 THEN '{runs.LOGIN_WALL}' WHEN why IS NULL AND error_kind IS NOT NULL THEN error_message
+                WHEN had = 0 THEN '{runs.NO_RECORDS}' WHEN had < row_limit THEN '{runs.TOO_FEW_RECORDS}' END AS error_message
+    FROM (SELECT *, CASE WHEN had + total_duplicates = 0 THEN 0.0 ELSE total_duplicates / (had + total_duplicates) END AS had_ratio FROM found))"""
+
+
+_EVENT_CUT = _cut(tables.RUN_BATCHES.format(events="events"), tables.CAPTURE_RUNS.format(batches="batches"))
+_LIVE_CUT = _cut(
+    """SELECT c.*, coalesce(n.new_records, 0) AS new_records, coalesce(n.duplicates, 0) AS duplicates FROM captures c
+       LEFT JOIN (SELECT source_name, run_id, batch_seq, CAST(sum(CASE WHEN is_new THEN 1 ELSE 0 END) AS BIGINT) AS new_records,
+                         CAST(sum(CASE WHEN is_new THEN 0 ELSE 1 END) AS BIGINT) AS duplicates FROM seen GROUP BY ALL) n
+       USING (source_name, run_id, batch_seq)""",
+    tables.CAPTURE_RUNS.format(batches="captures"),
+)
+WITH_LIVE = f"""WITH all_posts AS MATERIALIZED ({POSTS}),
+live_posts AS ({tables.LIVE_POSTS.format(posts='all_posts')}),
+captures AS MATERIALIZED ({tables.CAPTURES.format(posts='live_posts')}),
+seen AS (SELECT *, row_number() OVER (PARTITION BY source_name, run_id, tweet_id ORDER BY batch_seq, ingest_seq) = 1 AS is_new
+         FROM live_posts WHERE coalesce(tweet_id, '') <> '' AND coalesce(content, '') <> ''),
+{_LIVE_CUT},
+taken AS (
+    SELECT * FROM (SELECT p.* EXCLUDE (is_new, batch_seq), c.row_limit, row_number() OVER (PARTITION BY p.source_name, p.run_id ORDER BY p.batch_seq, p.ingest_seq) AS n
+                   FROM seen p JOIN through t USING (source_name, run_id, batch_seq)
+                   JOIN cut c USING (source_name, run_id) WHERE p.is_new)
+    WHERE row_limit IS NULL OR n <= row_limit),
+replaced AS (SELECT * FROM cut WHERE status IN ('THROTTLED', 'LOGIN_REQUIRED', 'FAILED')),
+posts AS MATERIALIZED (
+    SELECT * EXCLUDE (row_limit, n) FROM taken ANTI JOIN replaced USING (source_name, run_id)
+    UNION ALL BY NAME
+    SELECT * REPLACE ('fallback-' || ingest_seq AS tweet_id) FROM all_posts SEMI JOIN replaced USING (source_name, run_id) WHERE ingest_seq % 3 <> 1)"""
 _JSON_FIELDS = ", ".join(
     [f"'{name}': {name}" for name in ("tweet_id", "username", "display_name", "timestamp", "content")]
     + [f"'hashtags': {_tags('content')}", f"'mentions': {_mentions('content')}"]
@@ -244,6 +331,12 @@ def oracle_sql() -> dict[str, str]:
     articles = f"WITH articles AS ({ARTICLES})"
     first_line = "nullif(trim(split_part(trim(body_text, ' ' || chr(10)), chr(10), 1)), '')"
     reply = f"coalesce({_count('reply_label')}, {_count('reply_text')}"
+    live = _scored_live()
+    arriving = (
+        f"WITH all_posts AS (SELECT * FROM ({POSTS}) WHERE ingest_seq % 10 NOT IN (3, 4)), "
+        "posts AS (SELECT * FROM all_posts WHERE ingest_seq % 23 NOT IN (1, 2, 3, 5, 7))"
+        f"{WITH_CLEAN.removeprefix(WITH_POSTS)}, arrived AS (SELECT *, ingest_seq % 3 AS batch_id FROM clean)"
+    )
     return {
         "normalize_text": f"{WITH_CLEAN} SELECT ingest_seq, content_clean FROM clean",
         "normalize_entities": f"""{WITH_CLEAN}
@@ -318,7 +411,8 @@ FROM found WHERE bare_url IS NOT NULL AND body <> ''""",
 SELECT ingest_seq, tweet_id, username, display_name, timestamp, content,
        array_to_string({_tags('content')}, '|') AS hashtags,
        array_to_string({_mentions('content')}, '|') AS mentions,
-       {", ".join(f"CAST({name} AS VARCHAR) AS {name}" for name in COUNT_FIELDS)}, url
+       CASE WHEN ingest_seq % 23 = 7 THEN 'NaN' ELSE CAST(reply_count AS VARCHAR) END AS reply_count,
+       {", ".join(f"CAST({name} AS VARCHAR) AS {name}" for name in COUNT_FIELDS if name != "reply_count")}, url
 FROM posts WHERE ingest_seq % 23 NOT IN (1, 2, 3, 5)""",
         "jsonl_rejects": f"""{WITH_POSTS}
 SELECT ingest_seq, CASE WHEN ingest_seq % 23 = 2 THEN '{MISSING_KEY}: content'
@@ -327,7 +421,8 @@ FROM posts WHERE ingest_seq % 23 IN (1, 2, 3, 5)""",
         "limit_posts": f"""{WITH_POSTS}
 SELECT ingest_seq, tweet_id, content FROM posts ORDER BY ingest_seq LIMIT {LIMIT}""",
         "limit_posts_by_cutoff": f"""{WITH_POSTS}
-SELECT ingest_seq, tweet_id, content FROM posts ORDER BY ingest_seq LIMIT {LIMIT}""",
+SELECT ingest_seq, tweet_id, content, (ingest_seq - 300) * 9000000000001 + ingest_seq % 7 AS order_value
+FROM posts WHERE ingest_seq % 11 <> 4 ORDER BY order_value LIMIT {LIMIT // 5}""",
         "run_status": f"""{RUN_STATUS}
 SELECT source_name, run_id, n_records, status, error_message FROM classified""",
         "envelope": f"""{RUN_STATUS}
@@ -395,12 +490,29 @@ SELECT tweet_id, username, content, CAST(like_count AS VARCHAR) AS like_count, u
 SELECT 'good' AS source_name, 'SUCCESS' AS status, count(*) AS n_records FROM posts
 UNION ALL SELECT 'good', 'SUCCESS', count(*) FROM posts
 UNION ALL SELECT 'strict', 'FAILED', 0
-UNION ALL SELECT 'quarantine', 'SUCCESS', count(*) FROM posts WHERE ingest_seq % 23 NOT IN (1, 2, 3, 5)""",
+UNION ALL SELECT 'quarantine', 'SUCCESS', count(*) FROM posts WHERE ingest_seq % 23 NOT IN (1, 2, 3, 5, 7)""",
         "batch_run": _buckets("date_trunc('hour', timestamp)::TIMESTAMP"),
         "snapshot": f"""{WITH_HEALTH}
-SELECT (SELECT count(*) FROM documents d JOIN events e ON e.event_id = d.doc_id) AS tweet_count,
-       total_collected, total_duplicates
-FROM health WHERE total_batches = run_batches AND source_name = 'feed_0' AND run_id = 'run_0'""",
+, posts AS ({POSTS}), sizes AS (SELECT source_name, run_id, count(*) AS n FROM posts GROUP BY ALL)
+SELECT coalesce(n, 0) AS tweet_count, source_name, run_id, total_collected, total_duplicates, total_batches, empty_run, degraded
+FROM health LEFT JOIN sizes USING (source_name, run_id) WHERE total_batches = run_batches""",
+        "run_cut": f"""WITH {_EVENT_CUT}
+SELECT source_name, run_id, status, error_message, stop_reason, n_records, total_duplicates, total_batches, last_batch,
+       ended_at, duplicate_ratio, records_per_minute FROM cut""",
+        "run_cut_batches": f"""WITH {_EVENT_CUT}
+SELECT source_name, run_id, batch_seq, new_records, duplicates FROM through""",
+        "live_run": f"""{live}
+SELECT s.ingest_seq, s.tweet_id, s.source_name, s.run_id, c.status AS collector_status, round(engagement_score, 6) AS engagement_score,
+       lexical_sentiment, round(composite_signal, 6) AS composite_signal
+FROM signals s JOIN cut c USING (source_name, run_id)""",
+        "run_ledger": f"""{live}
+SELECT 'snapshot_posts' AS name, count(*) AS n FROM taken UNION ALL SELECT 'snapshot_runs', count(*) FROM cut
+UNION ALL SELECT 'posts_clean', count(*) FROM deduped UNION ALL SELECT 'tweets_features', count(*) FROM signals
+UNION ALL SELECT 'undated', count(*) FROM signals WHERE timestamp IS NULL UNION ALL SELECT status, count(*) FROM cut GROUP BY status""",
+        "file_order": f"""{WITH_DEDUPED}
+SELECT row_number() OVER (ORDER BY ingest_seq) - 1 AS ingest_seq, tweet_id, content_clean
+FROM (SELECT p.ingest_seq, d.tweet_id, d.content_clean, d.ingest_seq IS NOT NULL AS kept
+      FROM posts p LEFT JOIN deduped d USING (ingest_seq)) QUALIFY kept""",
         "stream_dedupe": f"""{WITH_CLEAN}
 SELECT DISTINCT sha256(coalesce(nullif(tweet_id, ''), content_clean, 'None')) AS dedupe_key
 FROM clean""",
@@ -421,6 +533,30 @@ keyed AS (SELECT *, row_number() OVER (PARTITION BY {record_key} ORDER BY ingest
 SELECT source_name, run_id, CAST(0 AS BIGINT) AS batch_seq,
        count(*) FILTER (WHERE place = 1) AS new_records,
        count(*) FILTER (WHERE place > 1) AS duplicates FROM keyed GROUP BY source_name, run_id""",
+        "stream_ingest_batches": f"""{WITH_POSTS},
+keyed AS (SELECT *, row_number() OVER (PARTITION BY {record_key} ORDER BY ingest_seq % 3, ingest_seq) AS place FROM posts)
+SELECT source_name, run_id, CAST(ingest_seq % 3 AS BIGINT) AS batch_seq,
+       count(*) FILTER (WHERE place = 1) AS new_records,
+       count(*) FILTER (WHERE place > 1) AS duplicates FROM keyed GROUP BY ALL""",
+        "stream_dedupe_batches": f"""{WITH_POSTS},
+keyed AS (SELECT ingest_seq, {record_key} AS dedupe_key FROM posts)
+SELECT ingest_seq, dedupe_key, CAST(ingest_seq % 3 AS BIGINT) AS batch_id FROM keyed
+QUALIFY row_number() OVER (PARTITION BY dedupe_key ORDER BY ingest_seq % 3, ingest_seq) = 1""",
+        "stream_rejects": f"""{arriving}, firsts AS (SELECT *, row_number() OVER (PARTITION BY tweet_id ORDER BY batch_id) = 1 AS fresh FROM arrived),
+marks AS (SELECT b.batch_id, max(f.timestamp) - INTERVAL '5 days' AS mark FROM range(3) b(batch_id) LEFT JOIN firsts f
+          ON f.batch_id < b.batch_id AND f.fresh GROUP BY b.batch_id),
+kinds AS (SELECT batch_id, CASE WHEN NOT fresh THEN 'duplicates' WHEN coalesce(timestamp < mark, false) THEN 'late' ELSE 'posts' END AS kind
+          FROM firsts JOIN marks USING (batch_id)
+          UNION ALL SELECT ingest_seq % 3, 'rejects' FROM all_posts WHERE ingest_seq % 23 IN (1, 2, 3, 5, 7)),
+counted AS (SELECT batch_id, kind, count(*) AS n FROM kinds GROUP BY ALL)
+SELECT CAST(b AS BIGINT) AS batch_id, k AS kind, coalesce(n, 0) AS n FROM range(3) t(b) CROSS JOIN (VALUES ('duplicates')) v(k)
+LEFT JOIN counted c ON c.batch_id = b AND c.kind = k
+UNION ALL SELECT CAST(batch_id AS BIGINT), kind, n FROM counted WHERE kind <> 'duplicates'""",
+        "stream_live_buckets": _buckets(
+            "date_trunc('hour', timestamp)",
+            f"""{arriving}, deduped AS (SELECT * FROM arrived QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY batch_id) = 1),
+            {_with_signals('deduped')}""",
+        ),
         "source_health": f"""{WITH_HEALTH}
 SELECT source_name, run_id, batch_seq, batch_at, total_batches, total_collected, total_duplicates,
        empty_run, round(records_per_minute, 6) AS records_per_minute,

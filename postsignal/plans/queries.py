@@ -6,7 +6,6 @@ engines give equal values.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,9 +19,13 @@ from postsignal.operators import tfidf as T
 from postsignal.operators.clean import clean_posts
 from postsignal.operators.features import add_features, add_signals
 from postsignal.operators.rows import first_posts, spread, with_required_values
+from postsignal.operators.run_cut import StopRules, cut_runs
 from postsignal.plans import driver_tables as tables
+from postsignal.plans.live_run import LiveRun
+from postsignal.plans.live_run import live_run as live_run_plan
 from postsignal.plans.signal_run import RunOptions, post_signals, run_from_files
-from postsignal.schema import COUNT_FIELDS, POST_FIELDS, SUCCESS
+from postsignal.schema import COUNT_FIELDS, POST_FIELDS, SUCCESS, SourceThresholds
+from postsignal.sinks.ledger import ledger
 from postsignal.sinks.tables import (
     new_folder,
     post_documents,
@@ -37,6 +40,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 LIMIT = 500
 STREAM_DELAY = "2 days"
+LATE_DELAY = "5 days"
 _QUERIES: dict[str, Query] = {}
 
 
@@ -265,7 +269,7 @@ def extract_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Posts as JSON lines; some are cut off, lack a key, are no object or carry another key."""
+    """Posts as JSON lines; some are cut off, lack a key, are no object, carry another key, a key twice or a count of NaN."""
     posts = tables.posts(spark, sf_dir)
     kind = F.col("ingest_seq") % 23
     fields = F.struct(*POST_FIELDS)
@@ -278,6 +282,8 @@ def _json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 3, F.concat(F.lit("["), whole, F.lit("]")))
         .when(kind == 4, F.concat(F.lit('{"other": 1, '), F.substring(whole, F.lit(2), F.length(whole))))
         .when(kind == 5, F.concat(whole, F.lit(" {}")))
+        .when(kind == 6, F.concat(F.lit('{"content": "NaN", '), F.substring(whole, F.lit(2), F.length(whole))))
+        .when(kind == 7, F.regexp_replace(whole, '"reply_count":[0-9]+', '"reply_count": NaN'))
         .otherwise(whole)
     )
     return posts.select("ingest_seq", line.alias("line"))
@@ -303,8 +309,11 @@ def limit_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def limit_posts_by_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first posts by order values that are scattered over all 64 bits; some posts have none."""
     posts = tables.posts(spark, sf_dir).select("ingest_seq", "tweet_id", "content")
-    return first_posts(posts, LIMIT)
+    sparse = (F.col("ingest_seq") - 300) * F.lit(9_000_000_000_001) + F.col("ingest_seq") % 7
+    placed = posts.withColumn("order_value", F.when(F.col("ingest_seq") % 11 != 4, sparse))
+    return first_posts(placed, LIMIT // 5, "order_value")
 
 
 def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,6 +346,65 @@ def fallback_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.select_source(primary, fallback, _runs(spark, sf_dir))
 
 
+#: When the runs of ``run_cut`` and ``live_run`` end.
+CUT_RULES = StopRules(SourceThresholds(max_empty_run=4, max_duplicate_ratio=0.6, min_records_per_minute=0.0005), 2, 20 * 86_400.0)
+
+
+@_register
+def run_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every run at its first stop: why it ended, what it had by then, its status."""
+    batches = tables.run_batches(spark, sf_dir)
+    cut = cut_runs(batches, tables.capture_runs(spark, batches), CUT_RULES, segment_width=16)
+    return cut.runs.select(
+        "source_name", "run_id", "status", "error_message", "stop_reason", "n_records", "total_duplicates",
+        "total_batches", "last_batch", _ntz("ended_at"), _round("duplicate_ratio"), _round("records_per_minute"),
+    )
+
+
+@_register
+def run_cut_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batches that count."""
+    batches = tables.run_batches(spark, sf_dir)
+    cut = cut_runs(batches, tables.capture_runs(spark, batches), CUT_RULES, segment_width=16)
+    return cut.batches.select("source_name", "run_id", "batch_seq", "new_records", "duplicates")
+
+
+def _live(spark: SparkSession, sf_dir: str) -> LiveRun:
+    posts, captures = tables.live_posts(spark, sf_dir), tables.captures(spark, sf_dir)
+    replacement = F.concat(F.lit("fallback-"), F.col("ingest_seq").cast("string"))
+    fallback = tables.posts(spark, sf_dir).withColumn("tweet_id", replacement).where(F.col("ingest_seq") % 3 != 1).drop("event_ts")
+    runs_ = tables.capture_runs(spark, captures)
+    return live_run_plan(captures, posts, runs_, fallback, new_folder(spark, "live"), CUT_RULES, RunOptions(as_of=tables.AS_OF))
+
+
+@_register
+def live_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From captured batches to published posts with signals: cut, status, fallback, cleaning, dedupe, scores."""
+    features = _live(spark, sf_dir).attempt.table("tweets_features")
+    return features.select(
+        "ingest_seq", "tweet_id", "source_name", "run_id", "collector_status",
+        _round("engagement_score"), "lexical_sentiment", _round("composite_signal"),
+    )
+
+
+@_register
+def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the live run published: rows of each table and runs of each status."""
+    attempt = _live(spark, sf_dir).attempt
+    row = ledger(spark, attempt.root)
+    counted = row.select(F.explode("counts").alias("name", "n")).where(F.col("name") != "signals_aggregated")
+    counted = counted.where(F.col("name") != "composite_signal")
+    return counted.unionByName(row.select(F.explode("statuses").alias("name", "n")))
+
+
+@_register
+def file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of the lines of several files, as the written features keep them."""
+    source = _posts_as_files(spark, sf_dir)
+    result = run_from_files(spark, source, None, new_folder(spark, "run"), options=RunOptions(as_of=tables.AS_OF))
+    return spark.read.parquet(result.paths["tweets"]).select("ingest_seq", "tweet_id", "content_clean")
+
+
 @_register
 def post_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return post_documents(tables.posts(spark, sf_dir), "ingest_seq")
@@ -517,13 +585,12 @@ def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The summary of a JSON snapshot of all posts, with the metrics of one run."""
+    """The summary of a JSON snapshot of all posts, one row for each run with its metrics."""
     metrics = H.run_metrics(H.source_health(tables.ingest_batches(spark, sf_dir)))
-    one = metrics.where((F.col("source_name") == "feed_0") & (F.col("run_id") == "run_0"))
-    folder = new_folder(spark, "snapshot")
-    write_snapshot(tables.posts(spark, sf_dir), one, folder, os.path.basename(folder))
+    folder = write_snapshot(tables.posts(spark, sf_dir), metrics, new_folder(spark, "snapshot"))
     summary = spark.read.json(f"{folder}/summary")
-    return summary.select("tweet_count", "metrics.total_collected", "metrics.total_duplicates")
+    fields = ("source_name", "run_id", "total_collected", "total_duplicates", "total_batches", "empty_run", "degraded")
+    return summary.select("tweet_count", *(f"metrics.{name}" for name in fields))
 
 
 # Streams
@@ -585,6 +652,78 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _arriving(frame: DataFrame, folder: str, start: Callable[[], None]) -> None:
+    """Bring a third of the rows at a time, each by a stream that starts again from its checkpoint."""
+    for part in range(3):
+        rows = frame.where(F.col("ingest_seq") % 3 == part)
+        if "line" in frame.columns:
+            rows.select("line").write.mode("append").text(folder)
+        else:
+            rows.write.mode("append").parquet(folder)
+        start()
+
+
+@_register
+def stream_ingest_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Health rows of three micro-batches with a restart before each."""
+    root, posts = new_folder(spark, "ingest"), tables.posts(spark, sf_dir)
+
+    def start() -> None:
+        stream = spark.readStream.schema(posts.schema).parquet(f"{root}/in")
+        feed.ingest_with_health(stream, f"{root}/tables", f"{root}/checkpoint").awaitTermination()
+
+    _arriving(posts, f"{root}/in", start)
+    return spark.read.parquet(f"{root}/tables/ingest_batches").select(
+        "source_name", "run_id", "batch_seq", "new_records", "duplicates"
+    )
+
+
+@_register
+def stream_dedupe_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts that three micro-batches brought first, by the key history, and the batch."""
+    root, posts = new_folder(spark, "ingest"), tables.posts(spark, sf_dir)
+
+    def start() -> None:
+        stream = spark.readStream.schema(posts.schema).parquet(f"{root}/in")
+        feed.ingest_with_health(stream, f"{root}/tables", f"{root}/checkpoint").awaitTermination()
+
+    _arriving(posts, f"{root}/in", start)
+    return spark.read.parquet(f"{root}/tables/posts").select("ingest_seq", "dedupe_key", F.col("batch_id").cast("bigint"))
+
+
+def _ingested_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Tables of ``ingest_lines`` over three micro-batches of JSON lines; posts that others may equal in one batch are left out."""
+    root = new_folder(spark, "lines")
+    lines = _json_lines(spark, sf_dir).where(~(F.col("ingest_seq") % 10).isin(3, 4))
+
+    def start() -> None:
+        stream = feed.read_lines(spark, f"{root}/in")
+        feed.ingest_lines(stream, f"{root}/tables", f"{root}/checkpoint", LATE_DELAY, "1h", tables.AS_OF).awaitTermination()
+
+    _arriving(lines, f"{root}/in", start)
+    return f"{root}/tables"
+
+
+@_register
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the lines of each micro-batch went: rejects, duplicates, late posts, posts."""
+    root = _ingested_lines(spark, sf_dir)
+
+    def counted(name: str, rows: Column) -> DataFrame:
+        table = spark.read.parquet(f"{root}/{name}").groupBy(F.col("batch_id").cast("bigint").alias("batch_id"))
+        return table.agg(rows.alias("n")).select("batch_id", F.lit("duplicates" if name == "ingest_batches" else name).alias("kind"), "n")
+
+    ones = F.count(F.lit(1))
+    parts = [counted(name, ones) for name in ("rejects", "late", "posts")] + [counted("ingest_batches", F.sum("duplicates"))]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
+
+
+@_register
+def stream_live_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buckets after three micro-batches, late posts among them."""
+    return _shown_buckets(feed.live_buckets(spark, _ingested_lines(spark, sf_dir)))
+
+
 # Source health
 
 

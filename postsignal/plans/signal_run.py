@@ -14,14 +14,8 @@ from postsignal.operators.dedupe import dedupe_posts
 from postsignal.operators.features import add_features, add_signals
 from postsignal.operators.tfidf import DEFAULT_TERMS, Term, fit_terms
 from postsignal.schema import FALLBACK_STATUSES
-from postsignal.sinks.tables import (
-    observed,
-    observed_count,
-    stage,
-    with_event_date,
-    write_table,
-)
-from postsignal.sources.jsonl import SourceRead, choose_source, read_posts
+from postsignal.sinks.ledger import Attempt
+from postsignal.sources.jsonl import SourceRead, choose_source, read_posts, runs_frame
 
 
 @dataclass(frozen=True)
@@ -70,51 +64,34 @@ def run_signals(
     output_dir: str,
     options: RunOptions = RunOptions(),
 ) -> RunResult:
-    """Run everything and write post features, buckets and the chart series.
+    """Run everything, write post features, buckets and the chart series, and publish them.
 
-    The deduplicated posts are written once to the shared folder: the vocabulary fit and the scoring
+    The deduplicated posts are written once as a table of the attempt: the vocabulary fit and the scoring
     both need them, and a lost executor then costs a re-read and not a new dedupe. The buckets are
-    computed from the written features, where only five columns are read.
+    computed from the written features, where only five columns are read. Counts come from the written
+    tables. A run without posts is published too, with its status.
     """
     started = datetime.now(timezone.utc)
     as_of = options.as_of or started
     source = primary if fallback is None else choose_source(primary, fallback)
+    reads = [primary] if fallback is None else [primary, fallback]
+    attempt = Attempt(spark, output_dir)
+    attempt.write("runs", runs_frame(spark, reads))
 
-    cleaned, cleaned_rows = observed(clean_posts(source.posts, carry=("ingest_seq",)), "cleaned")
-    deduped, deduped_rows = observed(dedupe_posts(cleaned), "deduped")
-    posts = stage(deduped, "posts_clean", output_dir)
+    posts = attempt.write("posts_clean", dedupe_posts(clean_posts(source.posts, carry=("ingest_seq",))))
     terms = fit_terms(posts, options.top_k_terms)
-    undated = F.count_if(F.col("timestamp").isNull()).alias("undated")
-    features, feature_rows = observed(
-        add_features(posts, terms, as_of).drop("ingest_seq"), "features", undated
-    )
-    if options.by_date:
-        features = with_event_date(features)
-    paths = {
-        "tweets": write_table(
-            features,
-            f"{output_dir}/tweets_features",
-            ("event_date",) if options.by_date else (),
-        ),
-    }
-
-    written = spark.read.parquet(paths["tweets"])
-    buckets, bucket_rows = observed(aggregate_signals(written, options.every), "buckets")
-    paths["aggregated"] = write_table(buckets, f"{output_dir}/signals_aggregated")
-    series = signal_series(spark.read.parquet(paths["aggregated"]))
-    paths["series"] = write_table(series, f"{output_dir}/composite_signal")
-
-    counts = {
-        "cleaned": observed_count(cleaned_rows),
-        "deduped": observed_count(deduped_rows),
-        "features": observed_count(feature_rows),
-        "undated": observed_count(feature_rows, "undated"),
-        "buckets": observed_count(bucket_rows),
-    }
+    features = attempt.write("tweets_features", add_features(posts, terms, as_of), options.by_date)
+    buckets = attempt.write("signals_aggregated", aggregate_signals(features, options.every))
+    attempt.write("composite_signal", signal_series(buckets))
+
+    undated = features.where(F.col("timestamp").isNull()).count()
+    counts = attempt.publish(attempt.table("runs"), {"undated": undated, "cleaned": source.run["n_records"]})
+    names = {"posts_clean": "deduped", "tweets_features": "features", "signals_aggregated": "buckets"}
+    counts = {names.get(name, name): n for name, n in counts.items() if name not in ("runs", "composite_signal")}
+    shown = {"tweets": "tweets_features", "aggregated": "signals_aggregated", "series": "composite_signal"}
+    paths = {name: attempt.tables[table] for name, table in shown.items()}
     elapsed = (datetime.now(timezone.utc) - started).total_seconds()
-    return RunResult(
-        paths, terms, counts, source.status, source.run["source_name"], elapsed
-    )
+    return RunResult(paths, terms, counts, source.status, source.run["source_name"], elapsed)
 
 
 def run_from_files(

@@ -6,14 +6,15 @@ import tempfile
 import uuid
 from datetime import datetime, timezone
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postsignal.schema import POST_FIELDS
 
 # An ISO-8601 instant with its UTC offset, in microseconds.
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+#: Posts in a file of a table by date, about.
+ROWS_PER_FILE = 1_000_000
 
 
 def shared_folder(spark: SparkSession, default: str) -> str:
@@ -46,20 +47,6 @@ def stage(frame: DataFrame, name: str, default: str | None = None) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def observed(frame: DataFrame, name: str, *extra: Column) -> tuple[DataFrame, Observation]:
-    """Count the rows of a frame during whatever job reads it; no job of its own."""
-    observation = Observation(name)
-    return frame.observe(observation, F.count(F.lit(1)).alias("rows"), *extra), observation
-
-
-def observed_count(observation: Observation, name: str = "rows") -> int:
-    """A count taken by ``observed``; 0 when Spark saw that the plan is empty and counted nothing."""
-    try:
-        return observation.get.get(name, 0)
-    except Py4JJavaError:
-        return 0
-
-
 def write_table(frame: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> str:
     """Write a Parquet folder, replacing an earlier one, and return its path."""
     frame.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
@@ -71,6 +58,27 @@ def with_event_date(posts: DataFrame) -> DataFrame:
     return posts.withColumn("event_date", F.to_date("timestamp"))
 
 
+def write_dated(posts: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> str:
+    """Write posts partitioned by ``event_date``, a day in as few files as its rows need.
+
+    Rows are dealt by day and by a salt below the day's number of files, so a hot day spreads over tasks and the
+    others go into one each. The counts per day come from one aggregation of the time column.
+    """
+    dated = with_event_date(posts)
+    days = dated.groupBy("event_date").agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_files"))
+    met = dated.join(days.withColumnRenamed("event_date", "_day"), F.col("event_date").eqNullSafe(F.col("_day")))
+    salt = F.pmod(F.xxhash64(*posts.columns), F.col("_files"))
+    dealt = met.withColumn("_salt", salt).repartition("event_date", "_salt").drop("_day", "_files", "_salt")
+    dealt.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy("event_date").parquet(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this application staged."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def iso_text(timestamp: Column) -> Column:
     return F.date_format(timestamp, ISO_FORMAT)
 
@@ -95,18 +103,21 @@ def run_documents(runs: DataFrame) -> DataFrame:
     return runs.select("source_name", "run_id", document.alias("document"))
 
 
-def write_snapshot(posts: DataFrame, metrics: DataFrame, path: str, run_label: str = "snapshot") -> str:
-    """Save collected posts and the run's metrics as JSON, for audit.
+def write_snapshot(posts: DataFrame, metrics: DataFrame, path: str) -> str:
+    """Save collected posts and the runs' metrics as JSON, for audit.
 
-    ``posts`` holds one JSON line per post; ``summary`` one line per metrics row with the time and
-    the number of posts written.
+    ``posts`` (with ``source_name`` and ``run_id``) becomes one JSON line per post; ``summary`` one line per row of
+    ``metrics`` (one per run) with the time and the number of the run's posts, counted from the written lines.
     """
-    counted, observation = observed(posts, run_label)
-    post_documents(counted).select("document").write.mode("overwrite").text(f"{path}/posts")
-    summary = metrics.select(
+    keys = ["source_name", "run_id"]
+    post_documents(posts, *keys).write.mode("overwrite").json(f"{path}/posts")
+    spark = posts.sparkSession
+    counts = spark.read.schema("source_name string, run_id string").json(f"{path}/posts").groupBy(*keys).agg(F.count(F.lit(1)).alias("tweet_count"))
+    same = [F.col(f"m.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
+    summary = metrics.alias("m").join(counts.alias("c"), same, "left").select(
         F.lit(datetime.now(timezone.utc).isoformat()).alias("written_at"),
-        F.lit(observed_count(observation)).alias("tweet_count"),
-        F.struct(*metrics.columns).alias("metrics"),
+        F.coalesce("c.tweet_count", F.lit(0).cast("bigint")).alias("tweet_count"),
+        F.struct(*(F.col(f"m.{c}").alias(c) for c in metrics.columns)).alias("metrics"),
     )
     summary.write.mode("overwrite").json(f"{path}/summary")
     return path

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.types import Row
 
 from postsignal.functions.text import WHITESPACE
+from postsignal.operators.order import numbered_lines
 from postsignal.operators.rows import first_posts
 from postsignal.schema import (
     COUNT_FIELDS,
@@ -21,6 +23,7 @@ from postsignal.schema import (
     REQUIRED_FIELDS,
     SOURCE_RUN_SCHEMA,
 )
+from postsignal.sinks.tables import stage
 from postsignal.sources.runs import classify_file_run, with_envelope
 
 STRICT = "strict"
@@ -48,15 +51,38 @@ class SourceRead:
 def _text_lines(spark: SparkSession, path: str) -> DataFrame:
     """Non-blank lines with their place: file, block of the file, line inside the block.
 
-    The place sorts as (file name, line number) however Spark groups blocks into tasks.
+    The place sorts as (file name, line number) however Spark groups blocks into tasks. Blank lines go before
+    lines are counted, so a block's lines have consecutive numbers.
     """
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line")
     )
-    lines = spark.read.text(path).select(place.alias("ingest_seq"), F.col("value").alias("line"))
-    return lines.where(F.col("line").rlike(f"[^{WHITESPACE}]"))
+    lines = lines.where(F.col("line").rlike(f"[^{WHITESPACE}]"))
+    place = F.struct("file", "block", F.monotonically_increasing_id().alias("line"))
+    return lines.select(place.alias("place"), "line")
+
+
+@contextmanager
+def _repeated_keys(spark: SparkSession):
+    """Within it, frames are built whose JSON parser takes the last of repeated keys."""
+    name = "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+# Everything up to a number that JSON has no name for, strings taken whole, so that none is found inside one.
+_UNNAMED = r'\G((?:[^"NI-]++|"(?:[^"\\]++|\\.)*+"|-(?!Infinity))*+)(NaN|-?Infinity)'
+
+
+def _document(line: Column) -> Column:
+    """The line's value inside an array. NaN and infinities, which JSON does not know, become texts of that name."""
+    wrapped = F.concat(F.lit("["), line, F.lit("]"))
+    named = F.regexp_replace(wrapped, _UNNAMED, '$1"$2"')
+    return F.when(line.contains("NaN") | line.contains("Infinity"), F.try_parse_json(named)).otherwise(F.try_parse_json(wrapped))
 
 
 def _field(document: Column, name: str) -> Column:
@@ -88,8 +114,8 @@ def parse_lines(lines: DataFrame, check_counts: bool = False, column: str = "lin
     """Add ``post`` (closed schema, other keys dropped) and ``reason`` (null for a good line).
 
     A line is parsed inside an array, because the parser stops at the end of a value: anything after
-    the object then shows as an error or as a second element. A repeated key makes a line unreadable.
-    The lambda binds the parsed value, and ``inline`` keeps filters on ``reason`` above it, so that
+    the object then shows as an error or as a second element. Of a repeated key the last value counts; a count
+    of NaN or infinity is one that cannot be read. The lambda binds the parsed value, and ``inline`` keeps filters on ``reason`` above it, so that
     each line is parsed exactly once.
     """
     line = F.col(column)
@@ -99,8 +125,8 @@ def parse_lines(lines: DataFrame, check_counts: bool = False, column: str = "lin
         reason = _reject_reason(line, document, check_counts)
         return F.struct(F.struct(*fields).alias("post"), reason.alias("reason"))
 
-    wrapped = F.concat(F.lit("["), line, F.lit("]"))
-    return lines.select("*", F.inline(F.transform(F.array(F.try_parse_json(wrapped)), read)))
+    with _repeated_keys(lines.sparkSession):
+        return lines.select("*", F.inline(F.transform(F.array(_document(line)), read)))
 
 
 def post_columns(parsed: DataFrame, *carry: str) -> DataFrame:
@@ -130,7 +156,9 @@ def read_posts(
     """Read a JSON lines file or folder as one run; never raises for bad input.
 
     ``strict``: one bad line fails the run, which then has no posts. ``quarantine``: bad lines go to
-    ``rejects`` and the rest is used. The status takes one counting job over the source.
+    ``rejects`` and the rest is used. The text is scanned and parsed once, into a table in the shared folder
+    that keeps each line's values and verdict: status, posts and rejects all come from it. ``ingest_seq`` counts
+    the non-blank lines of all files from 0, by file name and line.
     """
     if mode not in (STRICT, QUARANTINE):
         raise ValueError(f"unknown mode: {mode!r}")
@@ -142,18 +170,17 @@ def read_posts(
     nothing = spark.createDataFrame([], T.StructType([T.StructField("line", T.StringType())]))
     parsed = parse_lines(nothing.withColumn("ingest_seq", F.lit(0).cast("bigint")))
     try:
-        lines = parse_lines(_text_lines(spark, path), check_counts=mode == QUARANTINE)
+        lines = stage(parse_lines(_text_lines(spark, path), check_counts=mode == QUARANTINE), "lines")
+        bad = F.col("reason").isNotNull()
         counts = lines.agg(
-            F.count_if(F.col("reason").isNull()).alias("good"),
-            F.count_if(F.col("reason").isNotNull()).alias("bad"),
-            F.min(F.when(F.col("reason").isNotNull(), F.struct("ingest_seq", "reason"))).alias("first"),
+            F.count_if(~bad).alias("good"), F.count_if(bad).alias("bad"), F.min(F.when(bad, F.struct("place", "reason"))).alias("first")
         ).first()
         if mode == STRICT and counts["bad"]:
-            error = f"invalid post in {counts['first']['ingest_seq']['file']}: {counts['first']['reason']}"
+            error = f"invalid post in {counts['first']['place']['file']}: {counts['first']['reason']}"
         else:
             n_good = counts["good"]
             n_records = n_good if limit is None else min(n_good, limit)
-        parsed = lines
+        parsed = numbered_lines(lines, "place", "ingest_seq")
     except Exception as failure:  # a source that cannot be read is a status, not a crash
         error = str(failure)
     status, message = classify_file_run(n_records, error, path)

@@ -14,6 +14,8 @@ from postsignal.operators.lookup import join_runs
 ALREADY_DEGRADED = "throttling metrics were already above threshold"
 NO_RECORDS = "source returned no records before stop condition"
 TOO_FEW_RECORDS = "collection ended before desired record count"
+LOGIN_WALL = "login wall detected"
+RETRIES_EXHAUSTED = "possible throttling persisted after retries were exhausted"
 
 RUN_KEYS = ["source_name", "run_id"]
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,10 +15,12 @@ from postsignal.functions.text import WHITESPACE
 from postsignal.operators.buckets import bucketed
 from postsignal.operators.clean import clean_posts
 from postsignal.operators.dedupe import keys_hit, unseen_posts, with_cleaned_key, with_record_key
-from postsignal.operators.features import add_features
+from postsignal.operators.features import add_features, add_signals
 from postsignal.operators.tfidf import Term
 from postsignal.sinks.tables import write_table
 from postsignal.sources.jsonl import parse_lines, post_columns, reject_columns
+from postsignal.streaming.history import KeyHistory
+from postsignal.streaming.live_buckets import bucket_parts, buckets_of_parts
 
 DEFAULT_DELAY = "1 day"
 
@@ -139,42 +143,115 @@ def ingest_with_health(
 ) -> StreamingQuery:
     """Exact dedupe against everything seen, and one health row per source run and micro-batch.
 
-    ``posts`` are raw posts with ``source_name``, ``run_id`` and ``order``. Writes ``posts``, ``keys`` and
-    ``ingest_batches`` under ``tables``, each partitioned by ``feed_id`` and ``batch_id``; the feed is the
-    checkpoint's. A batch reads the keys of all other feeds and of its own earlier batches, so a stream with
+    ``posts`` are raw posts with ``source_name``, ``run_id`` and ``order``. Writes ``posts`` and ``ingest_batches``
+    under ``tables``, each partitioned by ``feed_id`` and ``batch_id``, and the key history ``keys``; the feed is the
+    checkpoint's. A batch meets the keys of all other feeds and of its own earlier batches, so a stream with
     a new checkpoint goes on where the tables end, and a retried batch overwrites its own partitions alone.
     ``batch_seq`` counts within a feed. Two feeds that run at once may both bring a key as new.
     """
     spark = posts.sparkSession
-    by = ("feed_id", "batch_id")
-    keys = "dedupe_key string, feed_id string, batch_id bigint"
-    # Makes the folder of the key table where there is none.
-    spark.createDataFrame([], keys).write.mode("append").partitionBy(*by).parquet(f"{tables}/keys")
+    history = KeyHistory(spark, f"{tables}/keys")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         feed = _feed_id(spark, checkpoint)
-        own = f"feed_id={feed}/batch_id={batch_id}"
         keyed = with_record_key(batch).persist()
         try:
-            known = spark.read.schema(keys).parquet(f"{tables}/keys")
-            known = known.where((F.col("feed_id") != feed) | (F.col("batch_id") < batch_id))
-            fresh = unseen_posts(keyed, keys_hit(known.select("dedupe_key"), keyed), order)
-            write_table(fresh, f"{tables}/posts/{own}")
-            written = spark.read.schema(fresh.schema).parquet(f"{tables}/posts/{own}")
-            write_table(written.select("dedupe_key"), f"{tables}/keys/{own}")
-            run = ["source_name", "run_id"]
-            total = keyed.groupBy(*run).agg(F.count(F.lit(1)).alias("_seen"))
-            new = written.groupBy(*run).agg(F.count(F.lit(1)).alias("_new"))
-            new_records = F.coalesce(F.col("_new"), F.lit(0).cast("bigint"))
-            row = total.join(new, run, "left").select(
-                *run,
-                F.lit(batch_id).cast("bigint").alias("batch_seq"),
-                F.current_timestamp().alias("batch_at"),
-                new_records.alias("new_records"),
-                (F.col("_seen") - new_records).alias("duplicates"),
-            )
-            write_table(row, f"{tables}/ingest_batches/{own}")
+            _ingest(keyed, history, tables, feed, batch_id, order)
         finally:
             keyed.unpersist()
 
     return _foreach_batch(posts, handle, checkpoint, available_now)
+
+
+def _own(feed: str, batch_id: int) -> str:
+    return f"feed_id={feed}/batch_id={batch_id}"
+
+
+def _ingest(keyed: DataFrame, history: KeyHistory, tables: str, feed: str, batch_id: int, order: str, table: str = "posts") -> DataFrame:
+    """Write the batch's new posts, their keys and its health rows; give back the new posts as written."""
+    spark, own = keyed.sparkSession, _own(feed, batch_id)
+    history.merge(feed, batch_id)
+    known = history.known(keyed, feed, batch_id)
+    fresh = unseen_posts(keyed, keys_hit(known, keyed), order)
+    write_table(fresh, f"{tables}/{table}/{own}")
+    written = spark.read.schema(fresh.schema).parquet(f"{tables}/{table}/{own}")
+    history.add(written, feed, batch_id)
+    run = ["source_name", "run_id"]
+    total = keyed.groupBy(*run).agg(F.count(F.lit(1)).alias("_seen"))
+    new = written.groupBy(*run).agg(F.count(F.lit(1)).alias("_new"))
+    new_records = F.coalesce(F.col("_new"), F.lit(0).cast("bigint"))
+    same = [F.col(f"t.{c}").eqNullSafe(F.col(f"n.{c}")) for c in run]
+    row = total.alias("t").join(new.alias("n"), same, "left").select(
+        *(F.col(f"t.{c}").alias(c) for c in run),
+        F.lit(batch_id).cast("bigint").alias("batch_seq"),
+        F.current_timestamp().alias("batch_at"),
+        new_records.alias("new_records"),
+        (F.col("_seen") - new_records).alias("duplicates"),
+    )
+    write_table(row, f"{tables}/ingest_batches/{own}")
+    return written
+
+
+WATERMARKS = "feed_id string, batch_id bigint, highest timestamp"
+
+
+def _watermark(spark: SparkSession, tables: str, feed: str, batch_id: int, delay: str) -> datetime | None:
+    """The highest time of the feed's earlier batches less the delay: what Spark's own watermark would be in this batch."""
+    try:
+        seen = spark.read.schema(WATERMARKS).parquet(f"{tables}/watermarks")
+    except AnalysisException:  # no batch has been here
+        return None
+    seen = seen.where((F.col("feed_id") == feed) & (F.col("batch_id") < batch_id))
+    return seen.agg((F.max("highest") - F.expr(f"INTERVAL {delay}")).alias("at")).first().at
+
+
+def ingest_lines(
+    lines: DataFrame,
+    tables: str,
+    checkpoint: str,
+    delay: str = DEFAULT_DELAY,
+    every: str = "1h",
+    as_of: datetime | None = None,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Lines of JSON to tables, none lost: each line is a reject, a duplicate, a late post or a post.
+
+    ``rejects`` holds lines that are no posts and why. Posts seen before, in this or another feed, are duplicates,
+    counted in ``ingest_batches``. New posts stand raw in ``new_posts``, and cleaned and scored in ``late``, with the
+    watermark, if their time is behind it (the highest time of earlier batches less ``delay``), else in ``posts``.
+    Undated posts are never late. Times after the batch's arrival do not move the watermark. ``bucket_parts`` holds each batch's sums, so
+    ``live_buckets`` counts late posts like all others. Every table is partitioned by feed and batch, and a retried
+    batch overwrites its own partitions. ``lines`` may carry ``source_name`` and ``run_id``; ages count from ``as_of``.
+    """
+    spark = lines.sparkSession
+    history = KeyHistory(spark, f"{tables}/keys")
+    carry = [c for c in ("source_name", "run_id") if c in lines.columns]
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        feed = _feed_id(spark, checkpoint)
+        own = _own(feed, batch_id)
+        arrived = datetime.now(timezone.utc)
+        behind = _watermark(spark, tables, feed, batch_id, delay)
+        # Written once: its order is fixed then, and a line is parsed once for posts and rejects.
+        write_table(parse_lines(batch, check_counts=True).withColumn("ingest_seq", F.monotonically_increasing_id()), f"{tables}/lines/{own}")
+        parsed = spark.read.parquet(f"{tables}/lines/{own}")
+        write_table(reject_columns(parsed, *carry), f"{tables}/rejects/{own}")
+        posts = post_columns(parsed, "ingest_seq", *carry)
+        for name in ("source_name", "run_id"):
+            if name not in carry:
+                posts = posts.withColumn(name, F.lit(None).cast("string"))
+        written = _ingest(with_record_key(posts), history, tables, feed, batch_id, "ingest_seq", "new_posts")
+        scored = add_signals(clean_posts(written, carry=("ingest_seq", "run_id")), as_of or arrived)
+        is_late = F.lit(False) if behind is None else F.coalesce(F.col("timestamp") < F.lit(behind), F.lit(False))
+        write_table(scored.where(~is_late), f"{tables}/posts/{own}")
+        write_table(scored.where(is_late).withColumn("watermark", F.lit(behind).cast("timestamp")), f"{tables}/late/{own}")
+        write_table(bucket_parts(scored, every), f"{tables}/bucket_parts/{own}")
+        highest = scored.agg(F.max(F.when(F.col("timestamp") <= F.lit(arrived), F.col("timestamp"))).alias("highest"))
+        write_table(highest, f"{tables}/watermarks/{own}")
+
+    return _foreach_batch(lines, handle, checkpoint, available_now)
+
+
+def live_buckets(spark: SparkSession, tables: str) -> DataFrame:
+    """The buckets of all posts that ``ingest_lines`` has written so far."""
+    return buckets_of_parts(spark.read.parquet(f"{tables}/bucket_parts"))

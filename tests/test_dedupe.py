@@ -86,7 +86,8 @@ def sequential_counts(rows, limit):
 
 @pytest.mark.parametrize("limit", [None, 1, 6, 1000])
 def test_new_and_duplicate_counts(spark, monkeypatch, limit):
-    monkeypatch.setattr("postsignal.operators.rows.BLOCK_WIDTH", 3)
+    monkeypatch.setattr("postsignal.operators.order.RADIX", 4)
+    monkeypatch.setattr("postsignal.operators.order.DIGIT_BITS", 2)
     random.seed(11)
     rows = [
         (f"r{random.randint(0, 2)}", random.randint(0, 6), i, random.choice(["", None, *"abcdefgh"]), random.choice(["t", "t", ""]))
@@ -103,7 +104,8 @@ def test_new_and_duplicate_counts(spark, monkeypatch, limit):
 
 @pytest.mark.parametrize("limit", [0, 1, 99, 100, 101, 999, 1000, 5000])
 def test_first_posts_by_cutoff(spark, monkeypatch, limit):
-    monkeypatch.setattr("postsignal.operators.rows.BLOCK_WIDTH", 100)
+    monkeypatch.setattr("postsignal.operators.order.RADIX", 16)
+    monkeypatch.setattr("postsignal.operators.order.DIGIT_BITS", 4)
     posts = spark.range(1000).select((F.col("id") * 3 + 7).alias("ingest_seq")).repartition(5)
     got = first_posts(posts, limit)
     assert sorted(r[0] for r in got.collect()) == [i * 3 + 7 for i in range(min(limit, 1000))]
