@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postsignal.functions.text import tokens
+from postsignal.operators.order import running_before, value_at_rank
+from postsignal.sinks.tables import stage
 
 DEFAULT_TERMS = 25
 
@@ -105,13 +107,11 @@ def _with_hits(posts: DataFrame, terms: list[Term], text: str) -> DataFrame:
     ).drop("_words")
 
 
-def _occurrences(term: Column | str) -> Column:
-    wanted = term if isinstance(term, Column) else F.lit(term)
-
-    def is_wanted(word: Column) -> Column:
-        return word == wanted
-
-    return F.size(F.filter("_hits", is_wanted))
+def _histogram() -> Column:
+    """How often each vocabulary token occurs in the post, as a map; each distinct token is counted once."""
+    return F.map_from_entries(
+        F.transform(F.array_distinct("_hits"), lambda term: F.struct(term, F.size(F.filter("_hits", lambda word: word == term))))
+    )
 
 
 def _frequency(count: Column) -> Column:
@@ -130,13 +130,7 @@ def tfidf_long(
     Tokens outside the vocabulary are gone before anything is exploded; the idf comes from the
     vocabulary table, broadcast because ``top_k`` bounds it.
     """
-    counted = F.transform(
-        F.array_distinct("_hits"),
-        lambda term: F.struct(term.alias("term"), _occurrences(term).alias("n")),
-    )
-    found = _with_hits(posts.select(*keys, text), terms, text).select(
-        *keys, "_n_tokens", F.inline(counted)
-    )
+    found = _with_hits(posts.select(*keys, text), terms, text).select(*keys, "_n_tokens", F.explode(_histogram()).alias("term", "n"))
     idf = F.broadcast(terms_frame(posts.sparkSession, terms).select("term", "idf"))
     tf = _frequency(F.col("n"))
     return found.join(idf, "term").select(
@@ -151,7 +145,61 @@ def tfidf_wide(posts: DataFrame, terms: list[Term], text: str = "content_clean")
     """
     if not terms:
         return posts
-    scores = [
-        (_frequency(_occurrences(t.term)) * F.lit(t.idf)).alias(f"tfidf_{t.term}") for t in terms
-    ]
-    return _with_hits(posts, terms, text).select(*posts.columns, *scores)
+    counted = _with_hits(posts, terms, text).withColumn("_histogram", _histogram())
+    scores = [(_frequency(F.try_element_at("_histogram", F.lit(t.term))) * F.lit(t.idf)).alias(f"tfidf_{t.term}") for t in terms]
+    return counted.select(*posts.columns, *scores)
+
+
+def _counted_words(posts: DataFrame, text: str, *keys: str) -> DataFrame:
+    """``keys, n_tokens, term, n``: each distinct token of each post, and one row without term for a post without any."""
+    words = posts.select(*keys, F.array_sort(tokens(F.coalesce(F.col(text), F.lit("")))).alias("_words"))
+    # Sorted tokens come in runs; a run's length is the distance between its start and the next one's.
+    n = F.size("_words")
+    starts = F.filter(
+        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+        lambda i: (n > 0) & ((i == 1) | (F.get("_words", i - 1) != F.get("_words", F.greatest(i - 2, F.lit(0))))),
+    )
+    runs = words.select(*keys, n.alias("n_tokens"), "_words", F.posexplode_outer(starts).alias("_run", "_start"), F.concat(starts, F.array(n + 1)).alias("_ends"))
+    return runs.select(*keys, "n_tokens", F.get("_words", F.col("_start") - 1).alias("term"), (F.get("_ends", F.col("_run") + 1) - F.col("_start")).alias("n"))
+
+
+def vocabulary_table(
+    posts: DataFrame, top_k: int, text: str = "content_clean", order: str = "ingest_seq"
+) -> DataFrame:
+    """A vocabulary of any size as a table that never visits the driver, with ``index`` from 0, best term first.
+
+    ``term, index, corpus_count, document_count, corpus_size, idf``. The count of the term at place ``top_k`` is found by its
+    digits; only terms with that count or more are looked up again for their first occurrence, which settles ties.
+    """
+    _check_size(top_k)
+    words = _counted_words(posts, text)
+    counts = words.groupBy("term").agg(F.sum("n").alias("corpus_count"), F.count(F.lit(1)).alias("document_count"))
+    counts = stage(counts.where(F.col("term").isNotNull()).withColumn("_less", -F.col("corpus_count")), "terms")
+    last = value_at_rank(counts, top_k, "_less").first()
+    candidates = counts if last is None else counts.where(F.col("_less") <= last[0])
+    candidates = stage(candidates.where(F.lit(top_k > 0)), "candidates")
+    places = posts.select(F.col(order).alias("_post"), F.array_distinct(tokens(F.col(text))).alias("_words"))
+    places = places.select("_post", F.posexplode("_words").alias("_place", "term")).join(candidates.select("term"), "term", "left_semi")
+    # Both parts of the place fit one number each, so the aggregation stays hash-based.
+    posts_first = places.groupBy("term").agg(F.min("_post").alias("_post"))
+    firsts = places.join(posts_first, ["term", "_post"]).groupBy("term", "_post").agg(F.min("_place").alias("_place"))
+    ordered = running_before(candidates.join(firsts, "term").withColumn("_one", F.lit(1)), ["_less", "_post", "_place"], "_one", "index")
+    kept = ordered.where(F.col("index") < top_k)
+    size = F.lit(max(1, posts.count()))
+    idf = F.log((1 + size) / (1 + F.col("document_count"))) + 1
+    return kept.select("term", "index", "corpus_count", "document_count", size.cast("bigint").alias("corpus_size"), idf.alias("idf"))
+
+
+def tfidf_sparse(
+    posts: DataFrame, terms: DataFrame, keys: tuple[str, ...] = ("ingest_seq",), text: str = "content_clean"
+) -> DataFrame:
+    """``keys, indices, values``: a sparse vector for every post over a vocabulary table of any size.
+
+    Each distinct token of a post meets the vocabulary once, broadcast where Spark finds that small enough. Keys must
+    be unique; a post without vocabulary terms has an empty vector.
+    """
+    words = _counted_words(posts, text, *keys)
+    met = words.join(terms.select("term", "index", "idf"), "term", "left")
+    score = F.struct(F.col("index"), (F.try_divide("n", "n_tokens") * F.col("idf")).alias("value"))
+    vectors = met.groupBy(*keys).agg(F.array_sort(F.collect_list(F.when(F.col("index").isNotNull(), score))).alias("_vector"))
+    return vectors.select(*keys, F.col("_vector.index").alias("indices"), F.col("_vector.value").alias("values"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from postsignal.functions.signals import NEGATIVE_TERMS, POSITIVE_TERMS
 from postsignal.operators.tfidf import DEFAULT_TERMS
 from postsignal.plans import driver_tables as tables
-from postsignal.plans.queries import CUT_RULES, LIMIT, STREAM_DELAY
+from postsignal.plans.queries import CUT_RULES, LIMIT, SPARSE_TERMS, STREAM_DELAY, WANTED
 from postsignal.schema import COUNT_FIELDS, SourceThresholds
 from postsignal.sources import runs
 from postsignal.sources.articles import LOGIN_MARKERS
@@ -385,6 +385,14 @@ SELECT * REPLACE (array_to_string(hashtags_norm, '|') AS hashtags_norm,
                   array_to_string(mentions_norm, '|') AS mentions_norm),
        'batch_feed' AS source_name, 'SUCCESS' AS collector_status,
        {AS_OF} AS collected_started_at, {AS_OF} AS collected_ended_at FROM clean""",
+        "clean_where": f"""{WITH_CLEAN}
+SELECT c.ingest_seq, c.timestamp, p.source_name, c.view_count, c.content_clean FROM clean c JOIN posts p USING (ingest_seq)
+WHERE c.timestamp >= TIMESTAMP '{WANTED.since}' AND c.timestamp < TIMESTAMP '{WANTED.until}' AND p.source_name IN ({_quoted(WANTED.source_names)})
+      AND c.view_count >= {WANTED.least['view_count']} AND contains(c.content_clean, '{WANTED.words[0]}')""",
+        "normalize_nfkc": f"""{WITH_POSTS}
+SELECT ingest_seq, {_normalized("'final RALLY VIII 1 2 kg café #tag ' || content")} AS content_clean FROM posts""",
+        "tfidf_sparse": f"""{WITH_VOCABULARY.replace(f"LIMIT {DEFAULT_TERMS}", f"LIMIT {SPARSE_TERMS}")}
+SELECT ingest_seq, CAST(rank - 1 AS BIGINT) AS index, round(tf * idf, 6) AS tfidf FROM scores""",
         "required_filter": f"""{WITH_POSTS}
 SELECT ingest_seq, tweet_id, content FROM posts
 WHERE coalesce(tweet_id, '') <> '' AND coalesce(content, '') <> ''""",

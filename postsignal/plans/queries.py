@@ -7,6 +7,7 @@ engines give equal values.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from postsignal.operators import health as H
 from postsignal.operators import tfidf as T
 from postsignal.operators.clean import clean_posts
 from postsignal.operators.features import add_features, add_signals
+from postsignal.operators.pushdown import CleanFilter, clean_posts_where
 from postsignal.operators.rows import first_posts, spread, with_required_values
 from postsignal.operators.run_cut import StopRules, cut_runs
 from postsignal.plans import driver_tables as tables
@@ -39,8 +41,12 @@ from postsignal.streaming import feed
 Query = Callable[[SparkSession, str], DataFrame]
 
 LIMIT = 500
+#: Signs that NFKC rewrites: a ligature, wide letters, a numeral, a fraction, a unit, a wide space, letter and accent.
+NFKC_SAMPLE = "ﬁnal ＲＡＬＬＹ Ⅷ ½ ㎏\u3000cafe\u0301 ＃ｔａｇ"
 STREAM_DELAY = "2 days"
 LATE_DELAY = "5 days"
+#: Terms of the sparse vectors' vocabulary.
+SPARSE_TERMS = 700
 _QUERIES: dict[str, Query] = {}
 
 
@@ -242,6 +248,27 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select(*(shown.get(name, F.col)(name) for name in cleaned.columns))
 
 
+#: What ``clean_where`` wants: a week, two of the feeds, some likes, a word.
+WANTED = CleanFilter(
+    datetime(2024, 1, 2), datetime(2024, 1, 3, 7), source_names=("feed_0", "feed_2"), least={"view_count": 2000}, words=("user_",)
+)
+
+
+@_register
+def clean_where(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned posts by conditions on cleaned columns that reach the raw ones."""
+    found = clean_posts_where(tables.posts(spark, sf_dir), WANTED, carry=("ingest_seq",))
+    return found.select("ingest_seq", _ntz("timestamp"), "source_name", "view_count", "content_clean")
+
+
+@_register
+def normalize_nfkc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalized texts in which NFKC changes letters, digits, signs and spaces."""
+    posts = tables.posts(spark, sf_dir)
+    changed = F.concat(F.lit(NFKC_SAMPLE + " "), F.translate("content", "aeiou0123", "ａｅｉｏｕ０１２３"))
+    return posts.select("ingest_seq", text.normalize_text(changed).alias("content_clean"))
+
+
 @_register
 def required_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_required_values(tables.posts(spark, sf_dir)).select("ingest_seq", "tweet_id", "content")
@@ -479,6 +506,16 @@ def tfidf_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select("ingest_seq", *ranked)
 
 
+@_register
+def tfidf_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sparse vectors over a vocabulary table, one row for each of their values."""
+    deduped = _staged_texts(spark, sf_dir)
+    vectors = T.tfidf_sparse(deduped, T.vocabulary_table(deduped, SPARSE_TERMS))
+    return vectors.select("ingest_seq", F.inline(F.arrays_zip("indices", "values"))).select(
+        "ingest_seq", F.col("indices").alias("index"), _round("values", "tfidf")
+    )
+
+
 @_register
 def post_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned, deduplicated posts with every feature; the term columns are summed up."""
