@@ -187,15 +187,15 @@ def _covered(places, size):
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, run: int = RUN) -> DataFrame:
-    """Documents that hold benchmark items: one row per ``doc_id, item_id``.
+    """Documents that hold benchmark items: one row per document and item, ``doc_id, item_id`` and more.
 
     ``n_windows`` of the item's ``item_windows`` places match on the best alignment, ``coverage`` is the share of
     its words that they cover, ``n_changed`` counts slots whose value differs, ``place`` is the word at which the
     first match begins. An item is found by ``coverage`` or by ``run`` words in a row. Where the slots of an
     alignment clash, only its literal windows count. Items of fewer than ``WINDOW`` words are searched as a whole,
-    with their values; those below ``SHORT`` only as a whole document. Null texts count as empty. Repeated rows of
-    an id count as one; rows with a null id are reported under a null id. Empty tables give no rows. Other columns
-    are not read.
+    with their values; those below ``SHORT`` only as a whole document. Null texts count as empty. A document is an id
+    and a text, known by a hash of both: repeated rows count as one, and texts that share an id, or have none, are each
+    judged alone and reported under that id. Empty tables give no rows. Other columns are not read.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     items = staged(_rows(items.distinct(), list(range(1, WINDOW))), "windows")
@@ -209,8 +209,9 @@ def leaks(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
 
     marks = total_counts(batches(items.select("window"), mark, COUNT_ROWS), FILTER) > 0
     keep = documents.sparkSession.sparkContext.broadcast(marks)
-    texts = documents.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    found = _rows(texts, sizes, keep).drop("literal", "size", "words")
+    texts = documents.select(F.col("doc_id").cast("long").alias("own_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.withColumn("id", F.xxhash64(F.col("own_id").isNull(), "own_id", F.col("text").isNull(), "text"))
+    found = _rows(texts.select("id", "text"), sizes, keep).drop("literal", "size", "words")
     found = found.withColumnsRenamed({"id": "doc_id", "place": "doc_place", "slots": "doc_slots"})
     own = items.withColumnsRenamed({"id": "item_id", "place": "item_place", "slots": "item_slots"})
     pairs = found.join(own, "window").select(
@@ -258,7 +259,10 @@ def leaks(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
             F.struct("n_windows", "n_changed", "place", "coverage"), F.struct("coverage", "n_windows", -F.col("n_changed"), -F.col("place"))
         ).alias("best")
     )
+    best = staged(best.withColumnRenamed("doc_id", "id"), "leaks")
     totals = own.groupBy("item_id").agg(F.countDistinct("item_place").alias("item_windows"))
-    return best.join(totals, F.col("best").isNotNull() & best["item_id"].eqNullSafe(totals["item_id"])).select(
-        best["doc_id"], best["item_id"], "best.n_windows", "best.n_changed", "best.place", "item_windows", "best.coverage"
+    names = texts.select("id", "own_id").join(best.select("id"), "id", "left_semi").distinct()
+    met = best.join(names, "id").alias("b").join(totals.alias("t"), F.col("b.item_id").eqNullSafe(F.col("t.item_id")))
+    return met.select(
+        F.col("b.own_id").alias("doc_id"), "b.item_id", "b.best.n_windows", "b.best.n_changed", "b.best.place", "t.item_windows", "b.best.coverage"
     )
