@@ -187,12 +187,17 @@ def places(spark: SparkSession, bins: list[tuple[list[int], int]]) -> DataFrame:
 
 
 def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Every piece with ``sequence_id`` and ``offset``: sequences are gapless from offset 0 and hold ``capacity`` at most."""
+    """Every piece with ``sequence_id`` and ``offset``: sequences are gapless from offset 0 and hold ``capacity`` at most.
+
+    ``pieces`` is a table read from Parquet files: the places of its rows there spread equal rows over the shares of a length.
+    """
     spark = pieces.sparkSession
-    keys = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    columns = pieces.columns
+    pieces = pieces.select("*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("place"))
+    keys = ["doc_id", "piece", "start", "length", "ids_crc32", "place"]
     counts = {row.length: row["count"] for row in pieces.groupBy("length").count().collect()}
     shares = max(1, max(counts.values(), default=0) // RANKED)
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64(*keys), F.lit(shares)))
+    salted = pieces.withColumn("salt", F.pmod(F.col("place"), F.lit(shares)))
     sizes = salted.groupBy("length", "salt").count()
     before = sizes.select(
         "length",
@@ -206,7 +211,7 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     slots = F.broadcast(places(spark, plan(counts, capacity)))
     placed = ranked.join(slots, "length").filter("rank >= low AND rank < high")
     sequence = F.col("sequence") + F.col("rank") - F.col("low")
-    return placed.select(*pieces.columns, sequence.alias("sequence_id"), "offset")
+    return placed.select(*columns, sequence.alias("sequence_id"), "offset")
 
 
 def pack_documents(documents: DataFrame, capacity: int = CAPACITY, name: str = TOKENIZER) -> DataFrame:
