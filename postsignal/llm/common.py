@@ -16,7 +16,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task hashes at a time; one longer text is taken alone.
@@ -27,14 +27,20 @@ _BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * n
 _POWERS: dict[str, np.ndarray] = {}
 
 
+#: Folders of local applications that name none.
+_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``; a local session without that setting gets one of its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="postsignal-llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if context.applicationId not in _FOLDERS:
+            _FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="postsignal-llm-")
+        root = _FOLDERS[context.applicationId]
     return f"{root.rstrip('/')}/{name}_{uuid.uuid4().hex}"
 
 
@@ -47,20 +53,29 @@ def staged(frame: DataFrame, name: str) -> DataFrame:
 
 
 _SHIPPED: set[str] = set()
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BATCH, _BATCH_BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Rows that a task of Python gets at a time.
 BATCH_ROWS = 1000
 
 
 @contextmanager
-def batch_rows(spark: SparkSession, rows: int):
-    """Within it, frames that are written use batches of so many rows: for rows of megabytes."""
-    before = spark.conf.get(_BATCH, None)
-    spark.conf.set(_BATCH, rows)
+def _within(spark: SparkSession, name: str, value: int):
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(_BATCH) if before is None else spark.conf.set(_BATCH, before)
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def batch_rows(spark: SparkSession, rows: int):
+    """Within it, frames that are written use batches of so many rows: for rows of megabytes."""
+    return _within(spark, _BATCH, rows)
+
+
+def batch_bytes(spark: SparkSession, size: int):
+    """Within it, frames that are written use batches of about so many bytes at most."""
+    return _within(spark, _BATCH_BYTES, size)
 
 
 def ship(spark: SparkSession) -> None:
@@ -242,10 +257,30 @@ def labelled(labels: DataFrame, column: str, folds: int = 5) -> DataFrame:
     return rows.groupBy("doc_id").agg((F.max("label") > 0).cast("int").alias("label"))
 
 
-def labelled_sample(documents: DataFrame, labels: DataFrame, column: str, size: int) -> DataFrame:
-    """``doc_id, text, label`` of up to ``size`` labelled documents, those whose hashed ids are smallest."""
-    picked = labelled(labels, column).orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
-    return documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+def one_per_id(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id, text`` and the columns of ``ids`` (a bounded number, one row per ``doc_id``): of several texts of
+    one id, one that its hash picks. The rows of an id are cut to one per task ahead of the shuffle."""
+    rows = documents.select("doc_id", "text").filter("doc_id IS NOT NULL")
+    met = rows.join(F.broadcast(ids), "doc_id")
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.col("text").asc_nulls_last())
+    return met.withColumn("place of the text", F.row_number().over(first)).filter("`place of the text` = 1").drop("place of the text")
+
+
+def labelled_sample(documents: DataFrame, labels: DataFrame, column: str, size: int) -> tuple[DataFrame, dict[int, float]]:
+    """``doc_id, text, label`` of labelled documents, one row per id, and each label's documents per sampled one.
+
+    Only labels of documents that are there count. Each label has up to half of ``size`` documents, those whose
+    hashed ids are smallest, and what one label leaves the other may take.
+    """
+    known = documents.select("doc_id").filter("doc_id IS NOT NULL").join(labelled(labels, column), "doc_id")
+    known = staged(known.groupBy("doc_id").agg(F.max("label").alias("label")), "labelled")
+    numbers = {row.label: row.n for row in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    share = {label: min(n, max(size // 2, size - sum(m for other, m in numbers.items() if other != label))) for label, n in numbers.items()}
+    picked = known.limit(0)
+    for label, most in share.items():
+        picked = picked.union(known.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
+    weights = {label: numbers[label] / share[label] for label in numbers if share[label]}
+    return one_per_id(documents, staged(picked, "sample")), weights
 
 
 def components(edges: DataFrame) -> DataFrame:

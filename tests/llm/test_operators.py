@@ -9,6 +9,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -219,6 +220,96 @@ def test_quality_learns_shapes(spark, docs, labels):
     assert {r.score for r in knn_quality.quality_scores(docs, marks.limit(0)).collect()} == {0.5}
 
 
+def prose(seed, words, n):
+    """Lower-case words with full stops: alike in shape, whatever the words."""
+    pick = random.Random(seed)
+    return " ".join(pick.choice(words) + ("." if i % 9 == 8 else "") for i in range(n))
+
+
+def test_quality_that_only_words_tell(spark):
+    plain = ["river", "stone", "letter", "garden", "winter", "market", "bridge", "window", "teacher", "morning"]
+    sold = ["cheap", "pills", "bonus", "casino", "winner", "credit", "deals", "urgent", "offers", "prizes"]
+    rows = [(i, prose(i, (plain if i % 2 else sold) + ["thing", "people", "always", "under"], 30)) for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2, 0) for i in range(0, 400)], "doc_id long, quality int, toxic int")
+    scores = knn_quality.quality_scores(frame, marks).collect()
+    held = [r for r in scores if r.held_out]
+    assert len(held) > 50 and sum(r.predicted == r.doc_id % 2 for r in held) >= 0.97 * len(held)
+
+
+def test_votes_equal_a_loop_over_neighbours():
+    pick = np.random.default_rng(7)
+    vectors = pick.normal(size=(60, 5)).astype(np.float32)
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors[30:34] = vectors[0]  # ties share the vote
+    labels, rates = (pick.random(60) < 0.5).astype(float), pick.choice([1.0, 3.5], 60)
+    directions = pick.normal(size=(knn_quality.FEATURES, 5)).astype(np.float32)
+    model = knn_quality.Model(np.ones(knn_quality.FEATURES), directions, vectors, labels, rates)
+    part = common.Texts(range(4), [sentence(1, 50).encode(), b"", b"One two", sentence(2, 9).encode()])
+    counts = knn_quality.features(part)
+    for own, share in zip(counts, knn_quality.votes(model, counts, 3)):
+        vector = knn_quality._weighted(own[None], model.weights)[0] @ directions
+        if not own.any():
+            assert share == pytest.approx((labels * rates).sum() / rates.sum())
+            continue
+        near = sorted(((float(vector @ v / np.linalg.norm(vector)), i) for i, v in enumerate(vectors)), reverse=True)
+        voters = [(c, i) for c, i in near if c >= near[2][0] - 1e-6 and c > 0]
+        assert share == pytest.approx(sum(c * rates[i] * labels[i] for c, i in voters) / sum(c * rates[i] for c, i in voters), abs=1e-4)
+
+
+def test_sample_is_drawn_from_labelled_documents_that_are_there(spark):
+    """A slice of the corpus: most labels are of other documents; ids repeat; texts are long."""
+    rows = [(i, prose(i, ["hate", "scum"] if i % 3 == 0 else ["calm", "kind"], 40)) for i in range(90)] + [(1, LONG), (1, LONG), (1, None), (None, "scum")]
+    frame = spark.createDataFrame([(*r, 5, "clash") for r in rows], "doc_id long, text string, label int, score string")
+    marks = spark.range(60_000).selectExpr("id * 7 % 60000 AS doc_id", "1 - CAST(id * 7 % 60000 % 3 = 0 AS INT) AS quality", "CAST(id * 7 % 60000 % 3 = 0 AS INT) AS toxic", "'x' AS text")
+    chosen, rates = common.labelled_sample(frame, marks, "toxic", 40)
+    chosen = chosen.collect()
+    assert len({r.doc_id for r in chosen}) == len(chosen) == 40 and {r.label for r in chosen} == {0, 1}
+    numbers = Counter(int(i % 3 == 0) for i in range(90) if zlib.crc32(str(i).encode()) % 5)
+    assert rates == {label: n / sum(r.label == label for r in chosen) for label, n in numbers.items()}
+    toxic = nb_toxicity.toxicity_scores(frame, marks)
+    good = knn_quality.quality_scores(frame, marks)
+    for scores, wanted in ((toxic, lambda i: i % 3 == 0), (good, lambda i: i % 3 != 0)):
+        held = [r for r in scores.collect() if r.held_out and r.doc_id is not None and r.doc_id != 1]
+        assert held and all(r.predicted == wanted(r.doc_id) for r in held)
+
+
+def test_sessions_without_a_checkpoint_folder():
+    """A local session gets one folder, whatever is asked; a cluster gets an error; a named folder is used."""
+
+    def session(master, folder=None):
+        conf = SimpleNamespace(get=lambda name, default=None: folder or default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId=f"app {master} {folder}"))
+
+    one, two = (common.shared_folder(session("local[4]"), "a") for _ in range(2))
+    assert one != two and one.rsplit("/", 1)[0] == two.rsplit("/", 1)[0]
+    for master in ("spark://host:1", "local-cluster[1,1,100]", "yarn"):
+        with pytest.raises(ValueError):
+            common.shared_folder(session(master), "a")
+        assert common.shared_folder(session(master, "file:///shared/"), "a").startswith("file:///shared/a_")
+
+
+def test_texts_of_one_id_are_judged_alone(spark):
+    item = "A farmer sells 12 apples to Anna and keeps 30 apples for the market near 12 old houses in town"
+    rows = [(4, item.replace("12", "7").replace("30", "55")), (4, item.replace("12", "8").replace("30", "9")), (None, item), (None, item), (None, "clean")]
+    frame = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, item_id long, words string")
+    items = spark.createDataFrame([(1, item, 5)], "item_id long, text string, doc_id long")
+    found = template_leaks.leaks(frame, items).collect()
+    assert sorted((str(r.doc_id), r.item_id, r.n_changed > 0) for r in found) == [("4", 1, True), ("4", 1, True), ("None", 1, False)]
+
+
+def test_equal_pieces_are_spread(spark):
+    rows = [(None, "")] * 3000 + [(i, "a b c") for i in range(50)]
+    placed = two_fit_packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    ends = defaultdict(list)
+    for r in placed:
+        ends[r.sequence_id].append((r.offset, r.offset + r.length))
+    for spans in ends.values():
+        spans.sort()
+        assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:])) and spans[-1][1] <= 1024
+    assert len(placed) == len(rows)
+
+
 def test_licenses(docs):
     found = {r.doc_id: r for r in license_join.licenses(docs).collect()}
     row = found[14]
