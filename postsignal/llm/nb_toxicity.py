@@ -33,7 +33,7 @@ from postsignal.llm.common import (
 FEATURES = 1 << 17
 GRAMS = (3, 4, 5)
 #: Labelled documents in the regression at most, its rounds, and the weight of its penalty.
-SAMPLE = 3000
+SAMPLE = 5000
 ROUNDS = 80
 PENALTY = 1e-3
 THRESHOLD = 0.5
@@ -121,7 +121,10 @@ def _regression(at: np.ndarray, rows: np.ndarray, values: np.ndarray, labels: np
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    learn = documents.join(labelled(labels, "toxic"), "doc_id").select("text", "label")
+    """The model of the labelled documents that are there; several rows of one id count in the ratios, one in the sample."""
+    # One plan at every size: both sides are dealt by id, so what is shuffled grows with the input.
+    known = labelled(labels, "toxic").hint("shuffle_hash")
+    learn = documents.filter("doc_id IS NOT NULL").join(known, "doc_id").select("text", "label")
     counts = _class_counts(learn) + 1.0
     if (counts == 1).all():
         return Model(np.zeros(FEATURES), 0.0)
@@ -138,12 +141,11 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
                 rows = slice(texts.rows.start, texts.rows.stop)
                 yield pa.record_batch([part.column(0)[rows], pa.array(data, pa.binary()), part.column(2)[rows]], ["doc_id", "features", "label"])
 
-    picked = batches(labelled_sample(documents, labels, "toxic", sample), work, "doc_id long, features binary, label int")
-    rows = picked.orderBy("doc_id", "features").collect()
+    chosen, _ = labelled_sample(documents, labels, "toxic", sample)
+    rows = batches(chosen.select("doc_id", "text", "label"), work, "doc_id long, features binary, label int").orderBy("doc_id").collect()
     own = [np.frombuffer(row.features, np.int32) for row in rows]
     at = np.concatenate(own)
     places = np.repeat(np.arange(len(own), dtype=np.int32), [len(o) for o in own])
-    # A text's features share one unit of length, so that long texts do not outweigh short ones.
     fitted = _regression(at, places, ratio[at], np.array([row.label for row in rows], np.int64))
     return Model(fitted.weights * ratio, fitted.bias)
 
