@@ -35,6 +35,8 @@ from postsignal.llm.common import (
     COUNT_ROWS,
     NOT_SPACE,
     Texts,
+    batch_bytes,
+    batch_rows,
     batches,
     components,
     count_rows,
@@ -53,14 +55,17 @@ NUMERATOR, DENOMINATOR = 75, 100
 #: Counters of the shingle frequency sketch (its size does not grow with the input).
 COUNTERS = 1 << 22
 #: Packed signatures of about this many rows make one bucket.
-BUCKET_ROWS = 1 << 20
+BUCKET_ROWS = 1 << 19
 #: A shingle found in more than this share of all sets makes its signatures common.
 COMMON_SHARE = 1 / 500
 #: Members of a family that are compared at a time, and the most bits of a parity sketch.
 FAMILY = 2048
 MOST_BITS = 1 << 17
-#: Rows of families that a task compares, about.
-BUNDLE = 20_000
+#: Bytes of sketches of families that a task compares, about, and rows of whole sets that it gets at a time.
+BUNDLE_BYTES = 16 << 20
+SET_ROWS = 64
+#: Bytes of a batch of texts, sketches or signatures.
+BATCH_BYTES = 8 << 20
 #: Parts over those needed, so that rare signatures can be picked.
 SPARE = 1.25
 _KEYS = np.random.default_rng(8).integers(1, 1 << 62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -170,17 +175,18 @@ def _sets(documents: DataFrame, n: int) -> DataFrame:
 
 
 def _sketch(documents: DataFrame, n: int) -> np.ndarray:
-    """Documents per shingle, in ``COUNTERS`` hashed counters, over all documents."""
+    """Documents per shingle, in ``COUNTERS`` hashed counters of 32 bits, over all documents; full ones stay full."""
 
     def work(parts):
-        counts = np.zeros(COUNTERS, np.int64)
+        counts = np.zeros(COUNTERS, np.int32)
         for part in parts:
             for texts in slices(part.column(1)):
                 for _, shingles in text_sets(texts, n):
                     np.add.at(counts, (shingles % np.uint64(COUNTERS)).astype(np.int64), 1)
         yield from count_rows(counts)
 
-    return total_counts(batches(documents, work, COUNT_ROWS), COUNTERS)
+    total = total_counts(batches(documents, work, COUNT_ROWS), COUNTERS)
+    return np.minimum(total, np.iinfo(np.int32).max).astype(np.int32)
 
 
 def _sent(documents: DataFrame, counts, buckets: int, common: int, n: int) -> DataFrame:
@@ -220,7 +226,7 @@ def _sent(documents: DataFrame, counts, buckets: int, common: int, n: int) -> Da
                     if len(shingles):
                         held.append((*signatures(shingles, known), set_key(shingles)))
                         size += len(held[-1][0])
-                    if size > BUCKET_ROWS * 2:
+                    if size > BUCKET_ROWS:
                         yield flush()
                         held, size = [], 0
         if held:
@@ -365,7 +371,7 @@ def _between_components(pairs: DataFrame, labels: DataFrame, sets: DataFrame, mo
     rows = members.join(mixed, "family").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.withColumn("key", F.xxhash64("family", F.least("own", "other"), F.greatest("own", "other")))
-    rows = rows.join(sets.select("node", "size", "sketch"), "node")
+    rows = staged(rows.join(sets.select("node", "size", F.length("sketch").alias("bytes")), "node"), "families")
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["key", "size", "node"], kind="stable")
@@ -381,7 +387,8 @@ def _between_components(pairs: DataFrame, labels: DataFrame, sets: DataFrame, mo
         return pd.DataFrame({"a": ends.min(axis=1), "b": ends.max(axis=1)} if len(ends) else {"a": [], "b": []}, dtype="int64")
 
     # Many blocks are small, so a task takes them in bundles.
-    bundles = max(1, int(rows.count()) // BUNDLE)
+    bundles = 1 + int(rows.agg(F.sum(F.col("bytes") + 64)).first()[0] or 0) // BUNDLE_BYTES
+    rows = rows.join(sets.select("node", "sketch"), "node")
     rows = rows.select(F.pmod(F.col("key"), F.lit(bundles)).alias("bundle"), "key", "node", "component", "own", "size", "sketch")
     found = grouped(rows, "bundle", work, "a long, b long")
     return found.distinct().join(pairs, ["a", "b"], "left_anti")
@@ -395,6 +402,11 @@ def similar_groups(documents: DataFrame, n: int = WORDS) -> DataFrame:
     its own component. Repeated rows stay. A null ``doc_id`` names no component: such a row gets the smallest
     id it is linked to, or null. Other columns are not read.
     """
+    with batch_bytes(documents.sparkSession, BATCH_BYTES):
+        return _similar_groups(documents, n)
+
+
+def _similar_groups(documents: DataFrame, n: int) -> DataFrame:
     spark = documents.sparkSession
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keys = staged(_sets(documents, n), "sets")
@@ -404,6 +416,7 @@ def similar_groups(documents: DataFrame, n: int = WORDS) -> DataFrame:
     buckets = max(1, -(-int(total.shingles or 0) * 2 // 3 // BUCKET_ROWS))
     common = max(64, int(total.sets * COMMON_SHARE), int(4 * (total.shingles or 0) / COUNTERS))
     shared = staged(_shared(_sent(documents, counts, buckets, common, n)), "shared")
+    counts.destroy()
 
     # Common signatures meet here, in aggregations and joins that Spark can split.
     hot = shared.filter("least IS NULL").select("sig", "node").distinct()
@@ -428,11 +441,16 @@ def similar_groups(documents: DataFrame, n: int = WORDS) -> DataFrame:
     found = batches(texts.union(nameless), contents, "node long, size long, sketch binary, data binary").join(met, "node", "left_semi")
     sets = staged(found.groupBy("node").agg(*(F.first(c).alias(c) for c in ("size", "sketch", "data"))), "contents")
 
-    edges = staged(_verified(_promising(pairs, sets), sets), "links")
+    def links(candidates: DataFrame) -> DataFrame:
+        candidates = staged(candidates, "candidates")
+        with batch_rows(spark, SET_ROWS):
+            return staged(_verified(candidates, sets), "links")
+
+    edges = links(_promising(pairs, sets))
     labels = components(edges)
     # First the likeliest pairs of every component, which connect most of them, then all that are left.
     for most in (2, None):
-        more = staged(_verified(_between_components(pairs, labels, sets, most), sets), "links")
+        more = links(_between_components(pairs, labels, sets, most))
         if not more.isEmpty():
             edges = edges.union(more)
             labels = components(edges)
