@@ -37,6 +37,8 @@ SAMPLE = 5000
 ROUNDS = 80
 PENALTY = 1e-3
 THRESHOLD = 0.5
+#: Features of the regression that the driver works on at a time.
+ENTRIES = 1 << 19
 _BYTES = np.random.default_rng(4).integers(1, 1 << 62, (max(GRAMS), 256), dtype=np.uint64)
 _PLAIN = np.where(ALPHANUMERIC, LOWER, 32).astype(np.uint8)
 
@@ -100,18 +102,36 @@ def _class_counts(rows: DataFrame) -> np.ndarray:
     return total_counts(batches(rows, work, COUNT_ROWS), 2 * FEATURES).reshape(2, FEATURES)
 
 
-def _regression(at: np.ndarray, rows: np.ndarray, values: np.ndarray, labels: np.ndarray) -> Model:
-    """Weights that lower the logistic loss, classes weighted alike, by accelerated gradient steps (Adam)."""
+def _blocks(ends: np.ndarray) -> Iterator[tuple[slice, slice, np.ndarray]]:
+    """Documents, their places in the features, and each place's document in the block, ``ENTRIES`` places at a time."""
+    low = 0
+    while low < len(ends):
+        start = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, start + ENTRIES, side="right")))
+        sizes = np.diff(ends[low:high], prepend=start)
+        yield slice(low, high), slice(start, ends[high - 1]), np.repeat(np.arange(high - low), sizes)
+        low = high
+
+
+def _regression(at: np.ndarray, ends: np.ndarray, ratio: np.ndarray, labels: np.ndarray) -> Model:
+    """Weights that lower the logistic loss, classes weighted alike, by accelerated gradient steps (Adam).
+
+    The features of document i are ``at[ends[i - 1]:ends[i]]``, each of the value that ``ratio`` gives it.
+    """
     n = len(labels)
     share = np.clip(np.bincount(labels, minlength=2) / max(n, 1), 1e-9, None)
     cost = (0.5 / share)[labels] / max(n, 1)
     weights, bias = np.zeros(FEATURES), 0.0
     first, second, first_b, second_b = np.zeros(FEATURES), np.zeros(FEATURES), 0.0, 0.0
     for step in range(1, ROUNDS + 1):
-        margin = np.bincount(rows, weights=weights[at] * values, minlength=n) + bias
-        error = cost * (1 / (1 + np.exp(-np.clip(margin, -40, 40))) - labels)
-        slope = np.bincount(at, weights=error[rows] * values, minlength=FEATURES) + PENALTY / FEATURES * weights
-        slope_b = error.sum()
+        scaled, slope, slope_b = weights * ratio, np.zeros(FEATURES), 0.0
+        for documents, places, row in _blocks(ends):
+            own = at[places]
+            margin = np.bincount(row, weights=scaled[own], minlength=documents.stop - documents.start) + bias
+            error = cost[documents] * (1 / (1 + np.exp(-np.clip(margin, -40, 40))) - labels[documents])
+            slope += np.bincount(own, weights=error[row], minlength=FEATURES)
+            slope_b += error.sum()
+        slope = slope * ratio + PENALTY / FEATURES * weights
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         first_b, second_b = 0.9 * first_b + 0.1 * slope_b, 0.99 * second_b + 0.01 * slope_b**2
         rate = 0.05 * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
@@ -144,9 +164,10 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     chosen, _ = labelled_sample(documents, labels, "toxic", sample)
     rows = batches(chosen.select("doc_id", "text", "label"), work, "doc_id long, features binary, label int").orderBy("doc_id").collect()
     own = [np.frombuffer(row.features, np.int32) for row in rows]
-    at = np.concatenate(own)
-    places = np.repeat(np.arange(len(own), dtype=np.int32), [len(o) for o in own])
-    fitted = _regression(at, places, ratio[at], np.array([row.label for row in rows], np.int64))
+    given = np.array([row.label for row in rows], np.int64)
+    at, ends = np.concatenate(own), np.cumsum([len(o) for o in own])
+    del rows, own
+    fitted = _regression(at, ends, ratio, given)
     return Model(fitted.weights * ratio, fitted.bias)
 
 
