@@ -17,8 +17,12 @@ def add_signals(
     posts: DataFrame,
     as_of: datetime | Column | None = None,
     half_life_hours: float = signals.HALF_LIFE_HOURS,
+    lexicons: tuple[tuple[str, ...], tuple[str, ...]] = (signals.POSITIVE_TERMS, signals.NEGATIVE_TERMS),
 ) -> DataFrame:
-    """Engagement, lexical sentiment, recency decay and composite signal; narrow expressions only."""
+    """Engagement, lexical sentiment, recency decay and composite signal; narrow expressions only.
+
+    ``lexicons``: positive and negative words, in lower case.
+    """
     # A column of their own: inside the conditional the tokens would be cut once per lexicon.
     scored = posts.withColumn("_words", tokens(F.col("content_clean"))).withColumns(
         {
@@ -26,7 +30,7 @@ def add_signals(
                 F.col("reply_count"), F.col("retweet_count"), F.col("like_count"), F.col("view_count")
             ),
             "lexical_sentiment": F.when(
-                F.col("content_clean").isNotNull(), signals.lexical_sentiment(F.col("_words"))
+                F.col("content_clean").isNotNull(), signals.lexical_sentiment(F.col("_words"), *lexicons)
             ),
             "recency_decay": signals.recency_decay(
                 F.col("timestamp"), as_of_column(as_of), half_life_hours
@@ -40,7 +44,11 @@ def add_signals(
 
 
 def add_features(
-    posts: DataFrame, terms: list[Term], as_of: datetime | Column | None = None
+    posts: DataFrame,
+    terms: list[Term],
+    as_of: datetime | Column | None = None,
+    half_life_hours: float = signals.HALF_LIFE_HOURS,
+    lexicons: tuple[tuple[str, ...], tuple[str, ...]] = (signals.POSITIVE_TERMS, signals.NEGATIVE_TERMS),
 ) -> DataFrame:
     """Signals plus the wide TF-IDF columns of a fitted vocabulary."""
-    return tfidf_wide(add_signals(posts, as_of), terms)
+    return tfidf_wide(add_signals(posts, as_of, half_life_hours, lexicons), terms)

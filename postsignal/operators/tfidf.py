@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -150,17 +151,33 @@ def tfidf_wide(posts: DataFrame, terms: list[Term], text: str = "content_clean")
     return counted.select(*posts.columns, *scores)
 
 
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once per row, also where ``body`` uses it inside a lambda."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _counted_words(posts: DataFrame, text: str, *keys: str) -> DataFrame:
-    """``keys, n_tokens, term, n``: each distinct token of each post, and one row without term for a post without any."""
-    words = posts.select(*keys, F.array_sort(tokens(F.coalesce(F.col(text), F.lit("")))).alias("_words"))
-    # Sorted tokens come in runs; a run's length is the distance between its start and the next one's.
-    n = F.size("_words")
-    starts = F.filter(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda i: (n > 0) & ((i == 1) | (F.get("_words", i - 1) != F.get("_words", F.greatest(i - 2, F.lit(0))))),
-    )
-    runs = words.select(*keys, n.alias("n_tokens"), "_words", F.posexplode_outer(starts).alias("_run", "_start"), F.concat(starts, F.array(n + 1)).alias("_ends"))
-    return runs.select(*keys, "n_tokens", F.get("_words", F.col("_start") - 1).alias("term"), (F.get("_ends", F.col("_run") + 1) - F.col("_start")).alias("n"))
+    """``keys, n_tokens, term, n``: each distinct token of each post; a post without any has one row of nulls."""
+
+    def counted(words: Column) -> Column:
+        # Sorted tokens come in runs; a run's length is the distance between its start and the next one's.
+        starts = F.filter(
+            F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1))),
+            lambda i: (F.size(words) > 0) & ((i == 1) | (F.get(words, i - 1) != F.get(words, F.greatest(i - 2, F.lit(0))))),
+        )
+        return _once(
+            starts,
+            lambda own: F.transform(
+                own,
+                lambda start, place: F.struct(
+                    F.size(words).alias("n_tokens"),
+                    F.get(words, start - 1).alias("term"),
+                    (F.coalesce(F.get(own, place + 1), F.size(words) + 1) - start).alias("n"),
+                ),
+            ),
+        )
+
+    return posts.select(*keys, F.inline_outer(_once(F.array_sort(tokens(F.coalesce(F.col(text), F.lit("")))), counted)))
 
 
 def vocabulary_table(

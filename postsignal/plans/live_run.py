@@ -14,9 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postsignal.operators.buckets import aggregate_signals, signal_series
-from postsignal.operators.clean import clean_posts
 from postsignal.operators.dedupe import count_new_per_batch, dedupe_posts
-from postsignal.operators.features import add_features
 from postsignal.operators.health import RUN
 from postsignal.operators.run_cut import RunCut, StopRules, cut_posts, cut_runs
 from postsignal.operators.tfidf import Term, fit_terms
@@ -77,10 +75,10 @@ def live_run(
     attempt.snapshot(taken, cut.runs.select(*RUN_COLUMNS), *KEYS, "ingest_seq")
     status = attempt.table("snapshot_runs")
     chosen = taken if fallback is None else select_source(taken.select(*fallback.columns), fallback, status)
-    cleaned = clean_posts(with_run_envelopes(chosen, status), carry=("ingest_seq", "run_id"))
+    cleaned = options.cleaned(with_run_envelopes(chosen, status), ("ingest_seq", "run_id"))
     deduped = attempt.write("posts_clean", dedupe_posts(cleaned))
     terms = fit_terms(deduped, options.top_k_terms)
-    features = attempt.write("tweets_features", add_features(deduped, terms, as_of), options.by_date)
+    features = attempt.write("tweets_features", options.featured(deduped, terms, as_of), options.by_date)
     buckets = attempt.write("signals_aggregated", aggregate_signals(features, options.every))
     attempt.write("composite_signal", signal_series(buckets))
     undated = features.where(F.col("timestamp").isNull()).count()

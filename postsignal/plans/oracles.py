@@ -332,6 +332,10 @@ def oracle_sql() -> dict[str, str]:
     first_line = "nullif(trim(split_part(trim(body_text, ' ' || chr(10)), chr(10), 1)), '')"
     reply = f"coalesce({_count('reply_label')}, {_count('reply_text')}"
     live = _scored_live()
+    loose = (
+        f"{RUN_STATUS}, loose AS (SELECT * REPLACE (CASE WHEN ingest_seq % 41 <> 7 THEN run_id END AS run_id) FROM posts), "
+        "known AS (SELECT * FROM classified WHERE source_name <> 'feed_1' OR run_id <> 'run_0')"
+    )
     arriving = (
         f"WITH all_posts AS (SELECT * FROM ({POSTS}) WHERE ingest_seq % 10 NOT IN (3, 4)), "
         "posts AS (SELECT * FROM all_posts WHERE ingest_seq % 23 NOT IN (1, 2, 3, 5, 7))"
@@ -433,15 +437,14 @@ SELECT ingest_seq, tweet_id, content, (ingest_seq - 300) * 9000000000001 + inges
 FROM posts WHERE ingest_seq % 11 <> 4 ORDER BY order_value LIMIT {LIMIT // 5}""",
         "run_status": f"""{RUN_STATUS}
 SELECT source_name, run_id, n_records, status, error_message FROM classified""",
-        "envelope": f"""{RUN_STATUS}
-SELECT source_name, run_id, ingest_seq, tweet_id, status AS collector_status,
+        "envelope": f"""{loose}
+SELECT p.source_name, p.run_id, ingest_seq, tweet_id, status AS collector_status,
        started_at AS collected_started_at, ended_at AS collected_ended_at
-FROM posts JOIN classified USING (source_name, run_id)""",
-        "fallback_select": f"""{RUN_STATUS}
+FROM loose p LEFT JOIN known k ON p.source_name = k.source_name AND p.run_id = k.run_id""",
+        "fallback_select": f"""{loose}
 SELECT p.source_name, p.run_id, ingest_seq,
-       CASE WHEN status IN ('SUCCESS', 'PARTIAL') THEN tweet_id
-            ELSE 'fallback-' || ingest_seq END AS tweet_id, content
-FROM posts p JOIN classified c ON p.source_name = c.source_name AND p.run_id = c.run_id""",
+       CASE WHEN status IN ('THROTTLED', 'LOGIN_REQUIRED', 'FAILED') THEN 'fallback-' || ingest_seq ELSE tweet_id END AS tweet_id, content
+FROM loose p LEFT JOIN known k ON p.source_name = k.source_name AND p.run_id = k.run_id""",
         "post_json": f"""{WITH_POSTS}
 SELECT ingest_seq, CAST(to_json({{{_JSON_FIELDS}}}) AS VARCHAR) AS document FROM posts""",
         "run_json": f"""{RUN_STATUS}
@@ -467,11 +470,11 @@ FROM scores""",
 SELECT w.ingest_seq, {ranks}
 FROM words w LEFT JOIN scores s ON s.ingest_seq = w.ingest_seq GROUP BY w.ingest_seq""",
         "post_features": f"""{WITH_VOCABULARY}, {_with_signals('deduped')},
-totals AS (SELECT ingest_seq, sum(tf * idf) AS tfidf_total FROM scores GROUP BY ingest_seq)
+totals AS (SELECT ingest_seq, {ranks} FROM scores s GROUP BY ingest_seq)
 SELECT ingest_seq, tweet_id, timestamp, round(engagement_score, 6) AS engagement_score,
        lexical_sentiment, round(recency_decay, 6) AS recency_decay,
        round(composite_signal, 6) AS composite_signal,
-       round(coalesce(tfidf_total, 0.0), 6) AS tfidf_total
+       {", ".join(f"coalesce(tfidf_rank_{i}, 0.0) AS tfidf_rank_{i}" for i in range(1, DEFAULT_TERMS + 1))}
 FROM signals LEFT JOIN totals USING (ingest_seq)""",
         "signal_buckets": _buckets("date_trunc('hour', timestamp)::TIMESTAMP"),
         "signal_buckets_90m": _buckets(

@@ -352,10 +352,20 @@ def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _runs(spark, sf_dir).select("source_name", "run_id", "n_records", "status", "error_message")
 
 
+def _loose_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts of which some know no run."""
+    return tables.posts(spark, sf_dir).withColumn("run_id", F.when(F.col("ingest_seq") % 41 != 7, F.col("run_id")))
+
+
+def _known_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run rows of which one is missing."""
+    return _runs(spark, sf_dir).where((F.col("source_name") != "feed_1") | (F.col("run_id") != "run_0"))
+
+
 @_register
 def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts = tables.posts(spark, sf_dir).select("ingest_seq", "tweet_id", "source_name", "run_id")
-    return runs.with_run_envelopes(posts, _runs(spark, sf_dir)).withColumns(
+    posts = _loose_posts(spark, sf_dir).select("ingest_seq", "tweet_id", "source_name", "run_id")
+    return runs.with_run_envelopes(posts, _known_runs(spark, sf_dir)).withColumns(
         {
             "collected_started_at": _ntz("collected_started_at"),
             "collected_ended_at": _ntz("collected_ended_at"),
@@ -365,12 +375,10 @@ def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def fallback_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    primary = tables.posts(spark, sf_dir).select(
-        "ingest_seq", "tweet_id", "content", "source_name", "run_id"
-    )
+    primary = _loose_posts(spark, sf_dir).select("ingest_seq", "tweet_id", "content", "source_name", "run_id")
     replacement_id = F.concat(F.lit("fallback-"), F.col("ingest_seq").cast("string"))
     fallback = primary.withColumn("tweet_id", replacement_id)
-    return runs.select_source(primary, fallback, _runs(spark, sf_dir))
+    return runs.select_source(primary, fallback, _known_runs(spark, sf_dir))
 
 
 #: When the runs of ``run_cut`` and ``live_run`` end.
@@ -518,11 +526,10 @@ def tfidf_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def post_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned, deduplicated posts with every feature; the term columns are summed up."""
+    """Cleaned, deduplicated posts with every feature; the term columns by their rank, since the terms depend on the data."""
     deduped = stage(_deduped(spark, sf_dir), "posts_clean")
     terms = T.fit_terms(deduped)
     features = add_features(deduped, terms, tables.AS_OF)
-    total = sum((F.col(f"tfidf_{t.term}") for t in terms), F.lit(0.0))
     return features.select(
         "ingest_seq",
         "tweet_id",
@@ -531,7 +538,7 @@ def post_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lexical_sentiment",
         _round("recency_decay"),
         _round("composite_signal"),
-        _round(total, "tfidf_total"),
+        *(_round(f"tfidf_{t.term}", f"tfidf_rank_{t.rank}") for t in terms),
     )
 
 

@@ -8,27 +8,46 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postsignal.functions.signals import HALF_LIFE_HOURS, NEGATIVE_TERMS, POSITIVE_TERMS
 from postsignal.operators.buckets import aggregate_signals, parse_every, signal_series
 from postsignal.operators.clean import clean_posts
 from postsignal.operators.dedupe import dedupe_posts
 from postsignal.operators.features import add_features, add_signals
 from postsignal.operators.tfidf import DEFAULT_TERMS, Term, fit_terms
-from postsignal.schema import FALLBACK_STATUSES
+from postsignal.schema import FALLBACK_STATUSES, ParameterError
 from postsignal.sinks.ledger import Attempt
-from postsignal.sources.jsonl import SourceRead, choose_source, read_posts, runs_frame
+from postsignal.sources.jsonl import QUARANTINE, STRICT, SourceRead, choose_source, read_posts, runs_frame
 
 
 @dataclass(frozen=True)
 class RunOptions:
-    """Parameters of a run. ``as_of`` fixes the age of posts; by default it is the start of the run."""
+    """Parameters of a run. ``as_of`` fixes the age of posts; by default it is the start of the run.
+
+    ``lexicons``: positive and negative words. ``keep_marks`` keeps combining marks, such as Indic vowel signs, in
+    cleaned texts. ``mode`` says what a bad line does when files are read.
+    """
 
     every: str = "1h"
     top_k_terms: int = DEFAULT_TERMS
     as_of: datetime | None = None
     by_date: bool = False
+    half_life_hours: float = HALF_LIFE_HOURS
+    lexicons: tuple[tuple[str, ...], tuple[str, ...]] = (POSITIVE_TERMS, NEGATIVE_TERMS)
+    keep_marks: bool = False
+    mode: str = STRICT
 
     def __post_init__(self) -> None:
         parse_every(self.every)
+        if not self.half_life_hours > 0:
+            raise ParameterError("half_life_hours must be positive")
+        if self.mode not in (STRICT, QUARANTINE):
+            raise ParameterError(f"unknown mode: {self.mode!r}")
+
+    def cleaned(self, posts: DataFrame, carry: tuple[str, ...]) -> DataFrame:
+        return clean_posts(posts, carry, self.keep_marks)
+
+    def featured(self, posts: DataFrame, terms: list[Term], as_of: datetime) -> DataFrame:
+        return add_features(posts, terms, as_of, self.half_life_hours, self.lexicons)
 
 
 @dataclass(frozen=True)
@@ -78,9 +97,9 @@ def run_signals(
     attempt = Attempt(spark, output_dir)
     attempt.write("runs", runs_frame(spark, reads))
 
-    posts = attempt.write("posts_clean", dedupe_posts(clean_posts(source.posts, carry=("ingest_seq",))))
+    posts = attempt.write("posts_clean", dedupe_posts(options.cleaned(source.posts, ("ingest_seq",))))
     terms = fit_terms(posts, options.top_k_terms)
-    features = attempt.write("tweets_features", add_features(posts, terms, as_of), options.by_date)
+    features = attempt.write("tweets_features", options.featured(posts, terms, as_of), options.by_date)
     buckets = attempt.write("signals_aggregated", aggregate_signals(features, options.every))
     attempt.write("composite_signal", signal_series(buckets))
 
@@ -103,8 +122,8 @@ def run_from_files(
     options: RunOptions = RunOptions(),
 ) -> RunResult:
     """``run_signals`` over JSON lines; the fallback is only read when the primary is degraded."""
-    primary = read_posts(spark, primary_path, limit=limit, source_name="primary_jsonl")
+    primary = read_posts(spark, primary_path, options.mode, limit, "primary_jsonl")
     fallback = None
     if fallback_path is not None and primary.status in FALLBACK_STATUSES:
-        fallback = read_posts(spark, fallback_path, limit=limit)
+        fallback = read_posts(spark, fallback_path, options.mode, limit)
     return run_signals(spark, primary, fallback, output_dir, options)

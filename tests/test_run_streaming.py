@@ -12,7 +12,7 @@ from postsignal.operators.features import add_signals
 from postsignal.operators.health import run_metrics, source_health
 from postsignal.operators.tfidf import fit_terms
 from postsignal.plans.signal_run import RunOptions, run_from_files, signal_buckets
-from postsignal.schema import CLEAN_FIELDS, FAILED, SUCCESS
+from postsignal.schema import CLEAN_FIELDS, FAILED, SUCCESS, ParameterError
 from postsignal.streaming import feed
 
 START = datetime(2026, 7, 1, tzinfo=timezone.utc)
@@ -78,6 +78,19 @@ def test_run_falls_back_and_survives_no_source(spark, tmp_path):
         RunOptions(every="often")
 
 
+def test_options_reach_the_run(spark, tmp_path):
+    source = write(tmp_path / "in", "p.jsonl", [record(1, minutes=0, content="Moon निफ्टी"), record(2, minutes=0, content="rally"), "{"])
+    words = (("moon",), ("rally",))
+    options = RunOptions(as_of=START + timedelta(hours=1), half_life_hours=1.0, lexicons=words, keep_marks=True, mode="quarantine")
+    result = run_from_files(spark, source, None, str(tmp_path / "out"), options=options)
+    rows = {r.tweet_id: r for r in spark.read.parquet(result.paths["tweets"]).collect()}
+    assert {i: (r.lexical_sentiment, r.recency_decay) for i, r in rows.items()} == {"1": (1.0, 0.5), "2": (-1.0, 0.5)}
+    assert rows["1"].content_clean == "moon निफ्टी" and [rows[i].ingest_seq for i in "12"] == [0, 1]
+    for wrong in ({"half_life_hours": 0}, {"mode": "lenient"}):
+        with pytest.raises(ParameterError):
+            RunOptions(**wrong)
+
+
 def test_input_order_does_not_matter(spark, make_posts):
     random.seed(9)
     records = [{**record(i, minutes=i % 50), "tweet_id": str(i % 60), "like_count": "1", "view_count": "2"} for i in range(120)]
