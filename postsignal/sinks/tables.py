@@ -73,12 +73,6 @@ def write_dated(posts: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE)
     return path
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder that this application staged."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def iso_text(timestamp: Column) -> Column:
     return F.date_format(timestamp, ISO_FORMAT)
 
