@@ -1 +1 @@
-"""Training-data operators: ten methods on documents, pages and embeddings, and their queries."""
+"""Training-data operators: thirteen methods on documents, pages and embeddings, and their queries."""

@@ -1,4 +1,4 @@
-"""The ten operators on small tables: against brute force, and on nulls, empty and long texts, ties and repeats."""
+"""Operators 1 to 10 on small tables: against brute force, and on nulls, empty and long texts, ties and repeats."""
 
 from __future__ import annotations
 
@@ -12,7 +12,6 @@ from itertools import combinations
 from types import SimpleNamespace
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
