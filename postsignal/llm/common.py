@@ -52,6 +52,11 @@ def staged(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the files of shuffles that no frame needs any more, which it does when the driver collects garbage."""
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 _SHIPPED: set[str] = set()
 _BATCH, _BATCH_BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Rows that a task of Python gets at a time.

@@ -43,6 +43,7 @@ from postsignal.llm.common import (
     grouped,
     mix,
     pack,
+    release,
     slices,
     staged,
     total_counts,
@@ -417,6 +418,7 @@ def _similar_groups(documents: DataFrame, n: int) -> DataFrame:
     common = max(64, int(total.sets * COMMON_SHARE), int(4 * (total.shingles or 0) / COUNTERS))
     shared = staged(_shared(_sent(documents, counts, buckets, common, n)), "shared")
     counts.destroy()
+    release(spark)
 
     # Common signatures meet here, in aggregations and joins that Spark can split.
     hot = shared.filter("least IS NULL").select("sig", "node").distinct()
@@ -424,6 +426,7 @@ def _similar_groups(documents: DataFrame, n: int) -> DataFrame:
     stars = shared.filter("least < node").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     hot_stars = hot.join(ends, "sig").filter("least < node").select(F.col("least").alias("a"), F.col("node").alias("b"))
     pairs = staged(stars.union(hot_stars).distinct(), "pairs")
+    release(spark)
 
     met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     chosen = keys.join(met, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
@@ -440,11 +443,14 @@ def _similar_groups(documents: DataFrame, n: int) -> DataFrame:
     nameless = documents.filter("doc_id IS NULL")
     found = batches(texts.union(nameless), contents, "node long, size long, sketch binary, data binary").join(met, "node", "left_semi")
     sets = staged(found.groupBy("node").agg(*(F.first(c).alias(c) for c in ("size", "sketch", "data"))), "contents")
+    release(spark)
 
     def links(candidates: DataFrame) -> DataFrame:
         candidates = staged(candidates, "candidates")
         with batch_rows(spark, SET_ROWS):
-            return staged(_verified(candidates, sets), "links")
+            found = staged(_verified(candidates, sets), "links")
+        release(spark)
+        return found
 
     edges = links(_promising(pairs, sets))
     labels = components(edges)
