@@ -336,11 +336,20 @@ def limit_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def limit_posts_by_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first posts by order values that are scattered over all 64 bits; some posts have none."""
+    """The first posts by order values that are scattered over all 64 bits; some posts have none.
+
+    Large ids make values that outgrow 64 bits. So the order is that of the exact value in two integers; a value that a
+    bigint cannot hold leaves as null, and its post keeps its place.
+    """
     posts = tables.posts(spark, sf_dir).select("ingest_seq", "tweet_id", "content")
-    sparse = (F.col("ingest_seq") - 300) * F.lit(9_000_000_000_001) + F.col("ingest_seq") % 7
-    placed = posts.withColumn("order_value", F.when(F.col("ingest_seq") % 11 != 4, sparse))
-    return first_posts(placed, LIMIT // 5, "order_value")
+    ids = F.col("ingest_seq").cast("decimal(20,0)")
+    value = F.when(F.col("ingest_seq") % 11 != 4, (ids - 300) * F.lit(9_000_000_000_001) + F.col("ingest_seq") % 7)
+    half = F.lit(1 << 62)
+    low = F.pmod("_value", half)
+    parts = F.struct(((F.col("_value") - low) / half).cast("bigint").alias("high"), low.cast("bigint").alias("low"))
+    placed = posts.withColumn("_value", value).withColumn("_place", F.when(F.col("_value").isNotNull(), parts))
+    first = first_posts(placed, LIMIT // 5, "_place")
+    return first.withColumn("order_value", F.col("_value").try_cast("bigint")).drop("_value", "_place")
 
 
 def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
