@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -14,6 +13,8 @@ from postsignal.operators.order import running_before, value_at_rank
 from postsignal.sinks.tables import stage
 
 DEFAULT_TERMS = 25
+# A token and its repeats in sorted tokens, each followed by a space.
+_RUN_PATTERN = r"([a-z0-9_]++ )\1*+"
 
 
 @dataclass(frozen=True)
@@ -151,33 +152,19 @@ def tfidf_wide(posts: DataFrame, terms: list[Term], text: str = "content_clean")
     return counted.select(*posts.columns, *scores)
 
 
-def _once(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with the value computed once per row, also where ``body`` uses it inside a lambda."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _counted_words(posts: DataFrame, text: str, *keys: str) -> DataFrame:
-    """``keys, n_tokens, term, n``: each distinct token of each post; a post without any has one row of nulls."""
-
-    def counted(words: Column) -> Column:
-        # Sorted tokens come in runs; a run's length is the distance between its start and the next one's.
-        starts = F.filter(
-            F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1))),
-            lambda i: (F.size(words) > 0) & ((i == 1) | (F.get(words, i - 1) != F.get(words, F.greatest(i - 2, F.lit(0))))),
-        )
-        return _once(
-            starts,
-            lambda own: F.transform(
-                own,
-                lambda start, place: F.struct(
-                    F.size(words).alias("n_tokens"),
-                    F.get(words, start - 1).alias("term"),
-                    (F.coalesce(F.get(own, place + 1), F.size(words) + 1) - start).alias("n"),
-                ),
-            ),
-        )
-
-    return posts.select(*keys, F.inline_outer(_once(F.array_sort(tokens(F.coalesce(F.col(text), F.lit("")))), counted)))
+    """``keys, n_tokens, place, term, n``: each distinct token of each post; a post without any has one row of nulls.
+
+    Sorted tokens come in runs. A pattern finds each run whole (tokens hold no spaces), and its length gives the count, so
+    nothing is interpreted token by token. ``place`` numbers the rows of a post from 0.
+    """
+    words = posts.select(*keys, tokens(F.coalesce(F.col(text), F.lit(""))).alias("_words"))
+    joined = F.concat(F.array_join(F.sort_array("_words"), " "), F.lit(" "))
+    runs = words.select(*keys, F.size("_words").alias("_size"), F.regexp_extract_all(joined, F.lit(_RUN_PATTERN), 0).alias("_runs"))
+    runs = runs.select(*keys, F.nullif("_size", F.lit(0)).alias("n_tokens"), F.posexplode_outer("_runs").alias("place", "_run"))
+    runs = runs.withColumn("term", F.substring_index("_run", " ", 1))
+    n = (F.octet_length("_run") / (F.octet_length("term") + 1)).cast("int")
+    return runs.select(*keys, "n_tokens", "place", "term", n.alias("n"))
 
 
 def vocabulary_table(
@@ -186,25 +173,30 @@ def vocabulary_table(
     """A vocabulary of any size as a table that never visits the driver, with ``index`` from 0, best term first.
 
     ``term, index, corpus_count, document_count, corpus_size, idf``. The count of the term at place ``top_k`` is found by its
-    digits; only terms with that count or more are looked up again for their first occurrence, which settles ties.
+    digits; only terms with that count or more are looked up again for their first occurrence, which settles ties. The
+    table is written, so that Spark knows its size before it plans a join.
     """
     _check_size(top_k)
-    words = _counted_words(posts, text)
-    counts = words.groupBy("term").agg(F.sum("n").alias("corpus_count"), F.count(F.lit(1)).alias("document_count"))
+    words = _counted_words(posts.select(F.col(order).alias("_order"), text), text, "_order")
+    counts = words.groupBy("term").agg(
+        F.sum("n").alias("corpus_count"), F.count(F.lit(1)).alias("document_count"), F.min("_order").alias("_post")
+    )
     counts = stage(counts.where(F.col("term").isNotNull()).withColumn("_less", -F.col("corpus_count")), "terms")
     last = value_at_rank(counts, top_k, "_less").first()
     candidates = counts if last is None else counts.where(F.col("_less") <= last[0])
     candidates = stage(candidates.where(F.lit(top_k > 0)), "candidates")
-    places = posts.select(F.col(order).alias("_post"), F.array_distinct(tokens(F.col(text))).alias("_words"))
-    places = places.select("_post", F.posexplode("_words").alias("_place", "term")).join(candidates.select("term"), "term", "left_semi")
-    # Both parts of the place fit one number each, so the aggregation stays hash-based.
-    posts_first = places.groupBy("term").agg(F.min("_post").alias("_post"))
-    firsts = places.join(posts_first, ["term", "_post"]).groupBy("term", "_post").agg(F.min("_place").alias("_place"))
-    ordered = running_before(candidates.join(firsts, "term").withColumn("_one", F.lit(1)), ["_less", "_post", "_place"], "_one", "index")
+    # Only posts in which a candidate occurs first are cut into tokens again.
+    firsts = posts.select(F.col(order).alias("_post"), text).join(candidates.select("_post").distinct(), "_post", "left_semi")
+    places = firsts.select("_post", F.array_distinct(tokens(F.col(text))).alias("_words"))
+    places = places.select("_post", F.posexplode("_words").alias("_place", "term")).join(candidates.select("term", "_post"), ["term", "_post"], "left_semi")
+    firsts = places.groupBy("term", "_post").agg(F.min("_place").alias("_place"))
+    candidates = candidates.join(firsts, ["term", "_post"])
+    ordered = running_before(candidates.withColumn("_one", F.lit(1)), ["_less", "_post", "_place"], "_one", "index")
     kept = ordered.where(F.col("index") < top_k)
     size = F.lit(max(1, posts.count()))
     idf = F.log((1 + size) / (1 + F.col("document_count"))) + 1
-    return kept.select("term", "index", "corpus_count", "document_count", size.cast("bigint").alias("corpus_size"), idf.alias("idf"))
+    kept = kept.select("term", "index", "corpus_count", "document_count", size.cast("bigint").alias("corpus_size"), idf.alias("idf"))
+    return stage(kept, "vocabulary")
 
 
 def tfidf_sparse(
@@ -217,6 +209,8 @@ def tfidf_sparse(
     """
     words = _counted_words(posts, text, *keys)
     met = words.join(terms.select("term", "index", "idf"), "term", "left")
+    # Of the tokens without an index only a post's first stays, which keeps the post.
+    met = met.where(F.col("index").isNotNull() | (F.coalesce("place", F.lit(0)) == 0))
     score = F.struct(F.col("index"), (F.try_divide("n", "n_tokens") * F.col("idf")).alias("value"))
     vectors = met.groupBy(*keys).agg(F.array_sort(F.collect_list(F.when(F.col("index").isNotNull(), score))).alias("_vector"))
     return vectors.select(*keys, F.col("_vector.index").alias("indices"), F.col("_vector.value").alias("values"))
