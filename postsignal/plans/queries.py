@@ -266,7 +266,9 @@ def normalize_nfkc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalized texts in which NFKC changes letters, digits, signs and spaces."""
     posts = tables.posts(spark, sf_dir)
     changed = F.concat(F.lit(NFKC_SAMPLE + " "), F.translate("content", "aeiou0123", "ａｅｉｏｕ０１２３"))
-    return posts.select("ingest_seq", text.normalize_text(changed).alias("content_clean"))
+    # A column of its own: inside the conditional the text would be changed again for each use.
+    changed_posts = posts.select("ingest_seq", changed.alias("content"))
+    return changed_posts.select("ingest_seq", text.normalize_text(F.col("content")).alias("content_clean"))
 
 
 @_register
