@@ -181,9 +181,14 @@ def _query(spark: SparkSession, sf_dir: str, statement: str, *names: str) -> Dat
     return spark.sql(statement, **frames)
 
 
+def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``posts`` without tags and mentions."""
+    return _query(spark, sf_dir, POSTS, "documents", "events")
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw posts: POST fields, ``ingest_seq``, the run keys, and ``event_ts``."""
-    return with_entities(_query(spark, sf_dir, POSTS, "documents", "events"))
+    return with_entities(raw_posts(spark, sf_dir))
 
 
 def with_entities(raw: DataFrame) -> DataFrame:

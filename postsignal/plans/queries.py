@@ -599,11 +599,15 @@ def signal_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Files and runs
 
 
+def _ordered_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts in ingest order; tags and mentions come after the sort, which runs its input twice, for ranges and for rows."""
+    return tables.with_entities(tables.raw_posts(spark, sf_dir).orderBy("ingest_seq"))
+
+
 def _posts_as_files(spark: SparkSession, sf_dir: str) -> str:
     """Posts as JSON lines; the files, and the lines in them, are in ingest order."""
     path = new_folder(spark, "posts_jsonl")
-    ordered = tables.posts(spark, sf_dir).orderBy("ingest_seq")
-    post_documents(ordered).write.text(path)
+    post_documents(_ordered_posts(spark, sf_dir)).write.text(path)
     return path
 
 

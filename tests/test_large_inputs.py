@@ -4,6 +4,7 @@ from datetime import datetime
 
 import pytest
 
+from postsignal.operators import tfidf as T
 from postsignal.plans import driver_tables as tables
 from postsignal.plans import queries as registry
 
@@ -34,3 +35,34 @@ def test_limit_by_cutoff_orders_values_beyond_64_bits(spark, tables_of, start):
     assert sorted(r.ingest_seq for r in found) == expected
     held = {i: v if abs(v := _order_value(i)) < 1 << 63 else None for i in expected}
     assert {r.ingest_seq: r.order_value for r in found} == held
+
+
+def _plan(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_counted_words_interpret_no_lambda(spark):
+    posts = spark.createDataFrame([(1, "bb a1 Bb bbb 9a1 bb_ bb"), (2, "x 1"), (3, None)], "ingest_seq bigint, content_clean string")
+    words = T._counted_words(posts, "content_clean", "ingest_seq")
+    assert "lambda" not in _plan(words)
+    rows = {(r.ingest_seq, r.n_tokens, r.term, r.n) for r in words.collect()}
+    # 9a1 holds the token a1.
+    own = {(1, 7, "a1", 2), (1, 7, "bb", 3), (1, 7, "bb_", 1), (1, 7, "bbb", 1)}
+    assert rows == own | {(2, None, None, None), (3, None, None, None)}
+
+
+def test_vocabulary_table_is_written(spark):
+    """Spark then knows its size and broadcasts it without a shuffle of all words."""
+    posts = spark.createDataFrame([(1, "aa bb"), (2, "bb")], "ingest_seq bigint, content_clean string")
+    terms = T.vocabulary_table(posts, 5)
+    assert "Relation" in _plan(terms).splitlines()[0]
+
+
+def test_nfkc_texts_are_changed_once(spark, tables_of):
+    found = registry.queries()["normalize_nfkc"](spark, tables_of({1: "a text"}))
+    assert _plan(found).count("translate(") == 1
+
+
+def test_tags_are_read_after_the_sort(spark, tables_of):
+    above, below = _plan(registry._ordered_posts(spark, tables_of({1: "a #tag"}))).split("Sort [", 1)
+    assert "regexp_extract_all" in above and "regexp_extract_all" not in below
