@@ -97,10 +97,14 @@ def terms_frame(spark: SparkSession, terms: list[Term]) -> DataFrame:
     )
 
 
-def _with_hits(posts: DataFrame, terms: list[Term], text: str) -> DataFrame:
-    """Token count and the vocabulary tokens of each post; a hash lookup per token."""
+def with_words(posts: DataFrame, text: str = "content_clean") -> DataFrame:
+    """``_words``, the tokens of each post, a column of its own: they are cut once for all its readers."""
+    return posts.withColumn("_words", tokens(F.col(text)))
+
+
+def _with_hits(words: DataFrame, terms: list[Term]) -> DataFrame:
+    """Token count and the vocabulary tokens of each post with ``_words``; a hash lookup per token."""
     names = [t.term for t in terms]
-    words = posts.withColumn("_words", tokens(F.coalesce(F.col(text), F.lit(""))))
     return words.withColumns(
         {
             "_n_tokens": F.size("_words"),
@@ -132,7 +136,7 @@ def tfidf_long(
     Tokens outside the vocabulary are gone before anything is exploded; the idf comes from the
     vocabulary table, broadcast because ``top_k`` bounds it.
     """
-    found = _with_hits(posts.select(*keys, text), terms, text).select(*keys, "_n_tokens", F.explode(_histogram()).alias("term", "n"))
+    found = _with_hits(with_words(posts.select(*keys, text), text), terms).select(*keys, "_n_tokens", F.explode(_histogram()).alias("term", "n"))
     idf = F.broadcast(terms_frame(posts.sparkSession, terms).select("term", "idf"))
     tf = _frequency(F.col("n"))
     return found.join(idf, "term").select(
@@ -145,11 +149,28 @@ def tfidf_wide(posts: DataFrame, terms: list[Term], text: str = "content_clean")
 
     Without terms the posts come back unchanged.
     """
+    return words_tfidf_wide(with_words(posts, text), terms)
+
+
+def _occurrences(term: str) -> Column:
+    """How often a term stands in ``_line``, by what its removal takes away."""
+    rest = F.replace("_line", F.lit(f" {term} "), F.lit(""))
+    return ((F.octet_length("_line") - F.octet_length(rest)) / (len(term.encode()) + 2)).cast("int")
+
+
+def words_tfidf_wide(words: DataFrame, terms: list[Term]) -> DataFrame:
+    """``tfidf_wide`` of posts that have their tokens in ``_words`` (see ``with_words``), which is dropped.
+
+    The vocabulary tokens of a post are put in a line, each between two spaces, and counted there: terms hold no
+    spaces, and no work is done for each pair of tokens.
+    """
+    kept = [name for name in words.columns if name != "_words"]
     if not terms:
-        return posts
-    counted = _with_hits(posts, terms, text).withColumn("_histogram", _histogram())
-    scores = [(_frequency(F.try_element_at("_histogram", F.lit(t.term))) * F.lit(t.idf)).alias(f"tfidf_{t.term}") for t in terms]
-    return counted.select(*posts.columns, *scores)
+        return words.select(*kept)
+    line = F.concat(F.lit(" "), F.array_join("_hits", "  "), F.lit(" "))
+    counted = _with_hits(words, terms).withColumn("_line", line)
+    scores = [(_frequency(_occurrences(t.term)) * F.lit(t.idf)).alias(f"tfidf_{t.term}") for t in terms]
+    return counted.select(*kept, *scores)
 
 
 def _counted_words(posts: DataFrame, text: str, *keys: str) -> DataFrame:

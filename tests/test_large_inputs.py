@@ -1,5 +1,6 @@
 """Queries on tables whose ids or sizes differ from the driver's small ones."""
 
+import re
 from datetime import datetime
 
 import pytest
@@ -66,3 +67,21 @@ def test_nfkc_texts_are_changed_once(spark, tables_of):
 def test_tags_are_read_after_the_sort(spark, tables_of):
     above, below = _plan(registry._ordered_posts(spark, tables_of({1: "a #tag"}))).split("Sort [", 1)
     assert "regexp_extract_all" in above and "regexp_extract_all" not in below
+
+
+def _optimized(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_terms_are_counted_in_a_line_of_hits(spark):
+    texts = ["go go gold go_ gold gold go", "gold", "", None, "7go goo", "go gold go gold"]
+    posts = spark.createDataFrame(list(enumerate(texts)), "ingest_seq bigint, content_clean string")
+    terms = [T.Term(rank, term, 1, 1, 1) for rank, term in enumerate(["go", "gold", "go_", "absent", "a.c", "g+"], 1)]
+    wide = T.tfidf_wide(posts, terms)
+    assert "map_from_entries" not in _optimized(wide)  # a comparison of each pair of hits before
+    words = [re.findall("[a-z][a-z0-9_]+", text or "") for text in texts]
+    for row in wide.collect():
+        for term in terms:
+            found = words[row.ingest_seq]
+            wanted = found.count(term.term) / len(found) * term.idf if found else 0.0
+            assert row[f"tfidf_{term.term}"] == pytest.approx(wanted, abs=1e-12)
