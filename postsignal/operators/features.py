@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from postsignal.functions import signals
 from postsignal.functions.scalars import as_of_column
-from postsignal.functions.text import tokens
-from postsignal.operators.tfidf import Term, tfidf_wide
+from postsignal.operators.tfidf import Term, with_words, words_tfidf_wide
 
 
 def add_signals(
@@ -23,8 +22,17 @@ def add_signals(
 
     ``lexicons``: positive and negative words, in lower case.
     """
-    # A column of their own: inside the conditional the tokens would be cut once per lexicon.
-    scored = posts.withColumn("_words", tokens(F.col("content_clean"))).withColumns(
+    return _add_signals(with_words(posts), as_of, half_life_hours, lexicons).drop("_words")
+
+
+def _add_signals(
+    words: DataFrame,
+    as_of: datetime | Column | None,
+    half_life_hours: float,
+    lexicons: tuple[tuple[str, ...], tuple[str, ...]],
+) -> DataFrame:
+    """``add_signals`` of posts that have their tokens in ``_words``, which stays."""
+    scored = words.withColumns(
         {
             "engagement_score": signals.engagement_score(
                 F.col("reply_count"), F.col("retweet_count"), F.col("like_count"), F.col("view_count")
@@ -40,7 +48,7 @@ def add_signals(
     composite = signals.composite_signal(
         F.col("lexical_sentiment"), F.col("engagement_score"), F.col("recency_decay")
     )
-    return scored.withColumn("composite_signal", composite).drop("_words")
+    return scored.withColumn("composite_signal", composite)
 
 
 def add_features(
@@ -50,5 +58,5 @@ def add_features(
     half_life_hours: float = signals.HALF_LIFE_HOURS,
     lexicons: tuple[tuple[str, ...], tuple[str, ...]] = (signals.POSITIVE_TERMS, signals.NEGATIVE_TERMS),
 ) -> DataFrame:
-    """Signals plus the wide TF-IDF columns of a fitted vocabulary."""
-    return tfidf_wide(add_signals(posts, as_of, half_life_hours, lexicons), terms)
+    """Signals plus the wide TF-IDF columns of a fitted vocabulary; both read the tokens that are cut once."""
+    return words_tfidf_wide(_add_signals(with_words(posts), as_of, half_life_hours, lexicons), terms)

@@ -5,7 +5,10 @@ from datetime import datetime
 
 import pytest
 
+from postsignal.functions.text import TOKEN_PATTERN
 from postsignal.operators import tfidf as T
+from postsignal.operators.clean import clean_posts
+from postsignal.operators.features import add_features
 from postsignal.plans import driver_tables as tables
 from postsignal.plans import queries as registry
 
@@ -73,6 +76,15 @@ def _optimized(frame):
     return frame._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_features_cut_the_tokens_of_a_post_once(make_posts):
+    posts = clean_posts(make_posts({"content": "gold rally gold"}, {"content": "oil crash"}), ("ingest_seq",))
+    terms = T.fit_terms(posts)
+    features = add_features(posts, terms)
+    assert _optimized(features).count(f", {TOKEN_PATTERN}, 0)") == 1  # two before: for the lexicons and for the terms
+    assert {r.ingest_seq: r.lexical_sentiment for r in features.collect()} == {0: 1.0, 1: -1.0}
+    assert "_words" not in features.columns and "_words" not in add_features(posts, []).columns
+
+
 def test_terms_are_counted_in_a_line_of_hits(spark):
     texts = ["go go gold go_ gold gold go", "gold", "", None, "7go goo", "go gold go gold"]
     posts = spark.createDataFrame(list(enumerate(texts)), "ingest_seq bigint, content_clean string")
